@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from .bpe import op10_bpe_round_trip
+from .langid import op4_output_code_language
 from .media import op9_tiff_media
+from .mixing import ORACLE as OP1_SQL, op1_source_mix
+from .repetition import op5_suffix_repetition
 from .secret_scan import op6_secret_scan
 
 
 def queries() -> dict:
     return {
+        "op1_source_mix": op1_source_mix,
+        "op4_output_code_language": op4_output_code_language,
+        "op5_suffix_repetition": op5_suffix_repetition,
         "op6_secret_scan": op6_secret_scan,
         "op9_tiff_media": op9_tiff_media,
         "op10_bpe_round_trip": op10_bpe_round_trip,
@@ -16,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_source_mix": OP1_SQL}
