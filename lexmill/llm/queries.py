@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op10_bpe_round_trip
+from .jaccard_join import ORACLE as OP7_SQL, op7_tile_jaccard
 from .langid import op4_output_code_language
 from .media import op9_tiff_media
 from .mixing import ORACLE as OP1_SQL, op1_source_mix
@@ -16,10 +17,11 @@ def queries() -> dict:
         "op4_output_code_language": op4_output_code_language,
         "op5_suffix_repetition": op5_suffix_repetition,
         "op6_secret_scan": op6_secret_scan,
+        "op7_tile_jaccard": op7_tile_jaccard,
         "op9_tiff_media": op9_tiff_media,
         "op10_bpe_round_trip": op10_bpe_round_trip,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": OP1_SQL}
+    return {"op1_source_mix": OP1_SQL, "op7_tile_jaccard": OP7_SQL}

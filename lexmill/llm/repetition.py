@@ -26,7 +26,7 @@ WINDOW = 5
 #: The base rules: least words, and the percentage of words in repeated five-word windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 #: The method's own rules: repeats from so many words on count, their share, and the longest one.
-MIN_WORDS, MOST_COVERED, LONGEST = 4, 0.4, 50
+MIN_WORDS, MOST_COVERED, LONGEST = 4, 0.65, 50
 
 
 def repeats(words: np.ndarray, doc: np.ndarray) -> np.ndarray:
