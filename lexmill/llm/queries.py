@@ -9,11 +9,13 @@ from .media import op9_tiff_media
 from .mixing import ORACLE as OP1_SQL, op1_source_mix
 from .repetition import op5_suffix_repetition
 from .secret_scan import op6_secret_scan
+from .warc import op2_warc_shards
 
 
 def queries() -> dict:
     return {
         "op1_source_mix": op1_source_mix,
+        "op2_warc_shards": op2_warc_shards,
         "op4_output_code_language": op4_output_code_language,
         "op5_suffix_repetition": op5_suffix_repetition,
         "op6_secret_scan": op6_secret_scan,
