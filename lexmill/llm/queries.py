@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op10_bpe_round_trip
+from .huffman_tokens import op3_huffman_tokens
 from .jaccard_join import ORACLE as OP7_SQL, op7_tile_jaccard
 from .langid import op4_output_code_language
 from .media import op9_tiff_media
@@ -16,6 +17,7 @@ def queries() -> dict:
     return {
         "op1_source_mix": op1_source_mix,
         "op2_warc_shards": op2_warc_shards,
+        "op3_huffman_tokens": op3_huffman_tokens,
         "op4_output_code_language": op4_output_code_language,
         "op5_suffix_repetition": op5_suffix_repetition,
         "op6_secret_scan": op6_secret_scan,
