@@ -6,6 +6,7 @@ from .bpe import op10_bpe_round_trip
 from .huffman_tokens import op3_huffman_tokens
 from .jaccard_join import ORACLE as OP7_SQL, op7_tile_jaccard
 from .langid import op4_output_code_language
+from .line_templates import op8_line_templates
 from .media import op9_tiff_media
 from .mixing import ORACLE as OP1_SQL, op1_source_mix
 from .repetition import op5_suffix_repetition
@@ -22,6 +23,7 @@ def queries() -> dict:
         "op5_suffix_repetition": op5_suffix_repetition,
         "op6_secret_scan": op6_secret_scan,
         "op7_tile_jaccard": op7_tile_jaccard,
+        "op8_line_templates": op8_line_templates,
         "op9_tiff_media": op9_tiff_media,
         "op10_bpe_round_trip": op10_bpe_round_trip,
     }

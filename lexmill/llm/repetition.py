@@ -138,7 +138,8 @@ def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     the base rules. Repeated rows stay; ``keep`` names columns to carry, others are left out.
     """
     small_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), *keep)
+    source = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), *(F.col(c).alias(f"kept_{c}") for c in keep))
+    kept = [f"kept_{c}" for c in keep]
     span = pa.struct([("first", pa.int32()), ("last", pa.int32())])
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat"]
 
@@ -146,13 +147,14 @@ def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             rows = [*measured(batch.column("text").to_pylist(), min_words)]
             columns = [pa.array([r[c] for r in rows], pa.int64()) for c in longs] + [pa.array([r["spans"] for r in rows], pa.list_(span))]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *(batch.column(c) for c in keep), *columns], ["key", *keep, *longs, "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *(batch.column(c) for c in kept), *columns], ["key", *kept, *longs, "spans"])
 
-    given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "text" or "text" in keep)
+    given = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in ("key", *kept))
     found = source.mapInArrow(run, f"{given}, {', '.join(f'{c} long' for c in longs)}, spans array<struct<first:int,last:int>>")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     good = (F.col("covered_words") <= most_covered * F.col("n_words")) & (F.col("longest_repeat") <= longest)
-    return found.withColumnRenamed("key", id_col).withColumns({"base_failed": failed, "kept": ~failed & good})
+    names = [F.col("key").alias(id_col), *(F.col(f"kept_{c}").alias(c) for c in keep)]
+    return found.select(*names, *longs, "spans", failed.alias("base_failed"), (~failed & good).alias("kept"))
 
 
 def op5_suffix_repetition(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
