@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,9 +25,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import byte_alphabet
 from .common import cut, shared_path, small_batches, table, tokenizer_file
 from .sharded import TaskFile, commit, shards_by_weight, store
 
@@ -34,7 +37,7 @@ MAGIC = b"LMHUF001"
 LIMIT, BLOCK, STRIDE = 16, 1 << 16, 64
 SHARD_TOKENS = 4_000_000
 END = 1
-MEMO = 300_000
+MEMO = 500_000
 
 
 # The code
@@ -134,9 +137,17 @@ class Words:
 
     The tokenizer drops white space and looks at nothing across it, so a text's ids are
     those of its words in turn. A special token's string in a text would be cut out first,
-    blanks or not; it holds none, so it too lies within a word.
+    blanks or not; it holds none, so it too lies within a word. Letters and the punctuation
+    behind them are tokens of their own in any case, and case is dropped, so such words are
+    asked for in these two parts. The apostrophe, which contractions need, is not one.
+    Lower-case letters pass the library's normalizer as they are, so its model is asked
+    directly. A tokenizer file of which this does not hold is found out at the start.
     """
 
+    LETTERS = re.compile(r"[a-zß-öø-ÿ]+").fullmatch
+
+    PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -144,24 +155,55 @@ class Words:
         self.library.no_truncation()
         self.library.no_padding()
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def batch(self, texts: list[str | None]) -> list[list[int]]:
-        split = [t.split(" ") if t else [] for t in texts]
+        self.kind = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
+        self.end = np.array([END], dtype=self.kind).tobytes()
+        self.alphabet = byte_alphabet()
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        probe = "Probe, Àéß... straße (it's) ûber; 12 thereafter|x the the."
+        if self.batch(pa.array([probe]))[0][: -len(self.end)] != np.array(self.library.encode(probe, add_special_tokens=False).ids, dtype=self.kind).tobytes():
+            raise ValueError("a tokenizer that drops white space and case is needed")
+
+    def known(self, new: set[str]) -> None:
+        """Bring the words into the memo: from the older generation, or by asking the library."""
+        for w in [w for w in new if w in self.older]:
+            self.memo[w] = self.older[w]
+            new.discard(w)
+        plain = [w for w in new if self.LETTERS(w)]
+        ask = self.library.model.tokenize
+        for w in plain:
+            data = w if w.isascii() else "".join([self.alphabet[b] for b in w.encode()])
+            self.memo[w] = np.array([x.id for x in ask(data)], dtype=self.kind).tobytes()
+        asked = [*new.difference(plain)]
+        for w, e in zip(asked, self.library.encode_batch(asked, add_special_tokens=False)):
+            self.memo[w] = np.array(e.ids, dtype=self.kind).tobytes()
+
+    def pieces(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian numbers."""
         if len(self.memo) > MEMO:
-            self.memo.clear()
+            self.older, self.memo = self.memo, {}
         memo = self.memo
-        new = list({w for words in split for w in words} - memo.keys())
-        for w, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            memo[w] = tuple(e.ids)
-        out = []
-        for words in split:
-            ids: list[int] = []
-            for w in words:
-                ids += memo[w]
-            ids.append(END)
-            out.append(ids)
-        return out
+        new = {w for w in words if w not in memo}
+        parted = {w: (m[1].lower(), m[2]) for w in new if (m := self.PARTS(w)) and (m[2] or not w.islower())}
+        asked = {p for pair in parted.values() for p in pair if p not in memo}
+        self.known(asked.union(w for w in new if w not in parted))
+        for w, (core, rest) in parted.items():
+            memo[w] = memo[core] + memo[rest]
+        return [memo[w] for w in words]
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, ``END`` behind them, as little-endian numbers."""
+        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces = self.pieces(coded.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(pieces), dtype=self.kind)
+        size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // len(self.end)
+        start, at = np.cumsum(size) - size, coded.indices.to_numpy()
+        n = size[at]
+        ends = np.append(0, np.cumsum(n))
+        flat = ids[np.repeat(start[at] - ends[:-1], n) + np.arange(ends[-1])]
+        edge = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return [flat[a:b].tobytes() + self.end for a, b in zip(edge[:-1], edge[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -175,10 +217,9 @@ def tokenized(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
-        kind = "<u2" if words.vocabulary <= 1 << 16 else "<u4"
         for batch in batches:
-            rows = [np.array(r, dtype=kind) for r in words.batch(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([r.size for r in rows], pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], ["key", "n_tokens", "ids"])
+            rows = words.batch(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([len(r) // len(words.end) for r in rows], pa.int64()), pa.array(rows, pa.binary())], ["key", "n_tokens", "ids"])
 
     return source.mapInArrow(run, f"key {source.schema['key'].dataType.simpleString()}, n_tokens long, ids binary")
 
