@@ -160,4 +160,27 @@ def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def op5_suffix_repetition(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """The quality figures and verdict for every text of ``documents``."""
     found = repetition_rules(table(spark, sf_dir, "documents") if docs is None else docs)
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words", "longest_repeat")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words")
+
+
+def _windows(k: int) -> str:
+    return f"""win{k} AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM (
+  SELECT doc_id, i, array_to_string(w[i:i + {k - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - {k - 2})) AS i FROM words)) x),
+rep{k} AS (SELECT doc_id, sum(least({k}, coalesce(nx - i, {k})))::BIGINT AS n FROM (
+  SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nx FROM win{k} WHERE c > 1) GROUP BY doc_id)"""
+
+
+#: The longest repeat exceeds LONGEST words where a window of one word more occurs twice.
+ORACLE = rf"""
+WITH words AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+{_windows(WINDOW)}, {_windows(MIN_WORDS)}, {_windows(LONGEST + 1)},
+lines AS (SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         coalesce(l.n, 0) AS n_dup_lines, coalesce(a.n, 0) AS n_repeat_words, coalesce(b.n, 0) AS covered_words, c.n IS NOT NULL AS too_long
+  FROM words LEFT JOIN lines l USING (doc_id) LEFT JOIN rep{WINDOW} a USING (doc_id) LEFT JOIN rep{MIN_WORDS} b USING (doc_id) LEFT JOIN rep{LONGEST + 1} c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
+       n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
+       NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words) AND covered_words <= {MOST_COVERED} * n_words AND NOT too_long AS kept
+FROM base
+"""
