@@ -459,7 +459,7 @@ def scorecard(spark, d):
 
 ENTRIES = """entries AS (SELECT r_regionkey::BIGINT AS entry_id, r_name AS name, 'A' AS feature_class, (r_regionkey % 2)::BIGINT AS population FROM region
 UNION ALL SELECT 100 + n_nationkey, replace(n_name, 'NATION', 'Nación'), 'P', n_regionkey::BIGINT FROM nation UNION ALL SELECT 1000 + n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN upper(n_name) ELSE 'Región ' || n_regionkey END, 'A', NULL FROM nation
-UNION ALL SELECT 100000 + s_suppkey, 'Nación_' || s_nationkey, 'P', s_acctbal::BIGINT FROM supplier),
+UNION ALL SELECT 100000 + s_suppkey, 'Nación_' || s_nationkey, 'P', floor(s_acctbal)::BIGINT FROM supplier),
 idx AS (SELECT *, coalesce(population, 0) AS pop, strip_accents(lower(name)) AS key FROM entries)"""
 
 
@@ -469,7 +469,7 @@ def _entries(spark, d):
     rows = part(region, F.col("r_regionkey"), F.col("r_name"), "A", F.col("r_regionkey") % 2)
     rows = rows.union(part(nation, 100 + F.col("n_nationkey"), F.replace("n_name", F.lit("NATION"), F.lit("Nación")), "P", F.col("n_regionkey")))
     rows = rows.union(part(nation, 1000 + F.col("n_nationkey"), F.when(F.col("n_nationkey") % 2 == 0, F.upper("n_name")).otherwise(F.concat(F.lit("Región "), "n_regionkey")), "A", F.lit(None)))
-    rows = rows.union(part(supplier, 100000 + F.col("s_suppkey"), F.concat(F.lit("Nación_"), "s_nationkey"), "P", F.round("s_acctbal")))
+    rows = rows.union(part(supplier, 100000 + F.col("s_suppkey"), F.concat(F.lit("Nación_"), "s_nationkey"), "P", F.floor("s_acctbal")))
     blank = F.lit(None)
     return rows.withColumns({"asciiname": F.translate("name", "óñ", "on"), "lat": blank.cast("double"), "lon": blank.cast("double"), "admin1_code": blank.cast("string")})
 
