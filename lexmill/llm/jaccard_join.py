@@ -13,10 +13,12 @@ node go at once. What meets is cut down by bounds before any set is compared:
   above. Bitmaps grow with their set and fold to the smaller of two widths;
 * exact: what is left is decided on the sorted arrays of 64-bit shingle hashes.
 
-Two rounds keep large groups of near copies linear. First every node is compared with the
-least node of each of its shingles; what links forms components. Then only pairs of nodes
-in different components are looked at, all of them. So no link between components is lost,
-and pairs within a component, which could not change the result, are never made.
+Rounds keep large groups of near copies linear. First every node is compared with the
+least node of each of its shingles; what links forms components. Twice every node is then
+compared with the nearest node of another component in each of its tiles, by bitmaps,
+narrow ones first, and components join; nodes without such a neighbour are done. At last
+all pairs of the other nodes that are still in different components are looked at. So no link between components is lost, and pairs within a component, which
+could not change the result, are seldom made.
 
 The order comes from a count sketch of all shingles of a fixed width; it only decides how
 rare the prefixes are, never the result.
@@ -52,12 +54,21 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def bitmap_of(hashes: np.ndarray) -> bytes:
-    """The parity of the members per bit; about 0.4 bits a member, a power of two of at least 256."""
-    width = 1 << max(8, math.ceil(math.log2(max(1, 0.4 * hashes.size))))
+    """The parity of the members per bit; two to four bits a member, a power of two of at least 256.
+
+    So wide, the bits of two sets that differ by a tenth seldom fall together, and the bound is near the truth.
+    """
+    width = 1 << max(8, math.ceil(math.log2(max(1, 2 * hashes.size))))
     bits = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
 
+def narrowed(bitmap: bytes, size: int) -> bytes:
+    """The bitmap at about 0.4 bits a member, enough to tell sets that have little in common."""
+    width = 1 << max(5, math.ceil(math.log2(max(1, 0.05 * size))))
+    return folded(np.frombuffer(bitmap, dtype=np.uint8), width).tobytes()
+
+
 def folded(bitmap: np.ndarray, size: int) -> np.ndarray:
     """Rows of bytes at a smaller power-of-two width: bits that fall together add up modulo 2."""
     while bitmap.shape[-1] > size:
@@ -94,7 +105,7 @@ def features(docs: DataFrame, n: int) -> DataFrame:
     """A row per document (id, node, n_shingles, bitmap), and per task the counts of its part of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "place", "node", "n_shingles", "bitmap", "part", "counts"]
+        names = ["id", "place", "node", "n_shingles", "bitmap", "narrow", "part", "counts"]
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         kind = None
         for batch in batches:
@@ -103,13 +114,14 @@ def features(docs: DataFrame, n: int) -> DataFrame:
             every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             counts += np.bincount((every >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=counts.size).astype(np.uint32)
             size = len(sets)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("place"), pa.array(nodes_of(sets)), pa.array([s.size for s in sets], pa.int64()), pa.array([bitmap_of(s) for s in sets], pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
+            wide = [bitmap_of(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("place"), pa.array(nodes_of(sets)), pa.array([s.size for s in sets], pa.int64()), pa.array(wide, pa.binary()), pa.array([narrowed(b, s.size) for b, s in zip(wide, sets)], pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
         if kind is not None:
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SKETCH_PARTS)]
             none = lambda t: pa.nulls(SKETCH_PARTS, t)
-            yield pa.RecordBatch.from_arrays([none(kind), none(pa.string()), none(pa.int64()), none(pa.int64()), none(pa.binary()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([none(kind), none(pa.string()), none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.binary()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, place string, node long, n_shingles long, bitmap binary, part int, counts binary")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, place string, node long, n_shingles long, bitmap binary, narrow binary, part int, counts binary")
 
 
 def levels_of(found: DataFrame) -> np.ndarray:
@@ -213,15 +225,17 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
 
 
-def tiled(rows: DataFrame, percent: int) -> DataFrame:
+def tiled(rows: DataFrame, bitmaps: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs of nodes of different components that share a token, by sizes and bitmaps, tile by tile.
 
-    ``rows``: token, node, n_shingles, label, bitmap.
+    With ``best`` only each node's pair with the fewest differing bits of a tile: a row a node at most.
+
+    ``rows``: token, node, n_shingles, label; the bitmaps join what is dealt to tiles last.
     """
     step = math.log(100 / percent)
     members = rows.groupBy("token").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token", "members")
     rows = rows.join(members, "token").withColumn("blocks", F.ceil(F.col("members") / TILE))
-    one = rows.where("blocks = 1").select("token", F.lit("").alias("tile"), F.lit(0).alias("side"), "node", "n_shingles", "label", "bitmap")
+    one = rows.where("blocks = 1").select("token", F.lit("").alias("tile"), F.lit(0).alias("side"), "node", "n_shingles", "label")
     # Sizes of a linking pair lie in equal or adjacent bands.
     many = rows.where("blocks > 1").withColumns({"band": F.floor(F.log("n_shingles") / step + 1e-9), "block": F.pmod(F.xxhash64("node"), F.col("blocks"))})
     others = F.expr("transform(sequence(0L, blocks - 1), x -> x)")
@@ -232,8 +246,8 @@ def tiled(rows: DataFrame, percent: int) -> DataFrame:
         F.struct(name(F.concat(F.col("band"), F.lit("+")), "block", "other").alias("tile"), F.lit(1).alias("side")),
         F.struct(name(F.concat(F.col("band") - 1, F.lit("+")), "other", "block").alias("tile"), F.lit(2).alias("side")),
     )
-    many = many.withColumn("at", F.explode(tiles)).select("token", "at.tile", "at.side", "node", "n_shingles", "label", "bitmap")
-    dealt = one.unionByName(many).repartition("token", "tile").sortWithinPartitions("token", "tile", "side", "node")
+    many = many.withColumn("at", F.explode(tiles)).select("token", "at.tile", "at.side", "node", "n_shingles", "label")
+    dealt = one.unionByName(many).join(bitmaps, "node").select("token", "tile", "side", "node", "n_shingles", "label", "bitmap").repartition("token", "tile").sortWithinPartitions("token", "tile", "side", "node")
 
     def pairs_of(group: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         side = np.array([g[0] for g in group])
@@ -243,18 +257,20 @@ def tiled(rows: DataFrame, percent: int) -> DataFrame:
         least = min(len(g[4]) for g in group)
         if len(group) == 2:
             x, y = (int.from_bytes(folded(np.frombuffer(g[4], dtype=np.uint8), least).tobytes()) for g in group)
-            if node[0] != node[1] and may_link(size[0], size[1], (x ^ y).bit_count(), percent):
+            if node[0] != node[1] and side[0] + side[1] in (0, 3) and may_link(size[0], size[1], (x ^ y).bit_count(), percent):
                 yield node.min(keepdims=True), node.max(keepdims=True)
             return
         bits = np.stack([folded(np.frombuffer(g[4], dtype=np.uint8), least) for g in group])
-        for i in range(len(group) - 1):
-            j = np.arange(i + 1, len(group))
-            j = j[(label[j] != label[i]) & (node[j] != node[i]) & ((side[j] != side[i]) if side[i] else True)]
+        for i in range(len(group) - (not best)):
+            j = np.arange(0 if best else i + 1, len(group))
+            j = j[(label[j] != label[i]) & (node[j] != node[i]) & ((side[j] != side[i]) if side[i] else True)]  # side 0: a tile of one block
             j = j[may_link(size[i], size[j], 0, percent)]
             if j.size:
                 apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-                j = j[may_link(size[i], size[j], apart, percent)]
+                good = may_link(size[i], size[j], apart, percent)
+                j, apart = j[good], apart[good]
                 if j.size:
+                    j = j[[apart.argmin()]] if best else j
                     yield np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +338,7 @@ def jaccard_components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, i
     source = docs.select(F.col(id_col).alias("id"), place.alias("place"), F.col(text_col).alias("text"))
     found = cut(features(source, n), "jaccard-features")
     members = found.where("part is null").drop("part", "counts")
-    nodes = cut(members.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("least_id"), F.min("place").alias("place"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap")), "jaccard-nodes")
+    nodes = cut(members.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("least_id"), F.min("place").alias("place"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"), F.first("narrow").alias("narrow")), "jaccard-nodes")
 
     rows = prefixes(source, levels_of(found), n, percent)
     rows = rows.repartition("token").sortWithinPartitions("token", "node")
@@ -331,14 +347,24 @@ def jaccard_components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, i
     star = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     star = cut(bounded(star, nodes, percent), "jaccard-pairs")
     near = components(linked(star, texts_of(star, nodes, source), n, percent))
-
-    labelled = nodes.join(near, "node", "left").select("node", "bitmap", F.coalesce("label", "node").alias("label"))
-    rest = cut(tiled(shared.select("token", "node", "n_shingles").join(labelled, "node"), percent), "jaccard-pairs")
-    late = cut(linked(rest, texts_of(rest, nodes, source), n, percent), "jaccard-links")
-    label = labelled.select("node", "label")
-    bridges = late.join(label.withColumnsRenamed({"node": "a", "label": "la"}), "a").join(label.withColumnsRenamed({"node": "b", "label": "lb"}), "b")
-    joined = components(bridges.select("la", "lb"), "la", "lb").select(F.col("node").alias("label"), F.col("label").alias("final"))
-    final = nodes.select("node", "least_id").join(label, "node").join(joined, "label", "left").select("node", "least_id", F.coalesce("final", "label").alias("final"))
+    label = cut(nodes.join(near, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "jaccard-labels")
+
+    def joined(label: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        links = cut(linked(pairs, texts, n, percent), "jaccard-links")
+        bridges = links.join(label.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(label.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
+        tops = components(bridges.select("la", "lb"), "la", "lb").select(F.col("node").alias("label"), F.col("label").alias("top"))
+        return cut(label.join(tops, "label", "left").select("node", F.coalesce("top", "label").alias("label")), "jaccard-labels")
+
+    ends = shared.select("token", "node", "n_shingles")
+    pairs = cut(tiled(ends.join(label, "node"), nodes.select("node", F.col("narrow").alias("bitmap")), percent, True), "jaccard-pairs")
+    # A node without a pair here has none later: components only grow, and wide bitmaps pass fewer pairs than narrow ones.
+    active = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-active")
+    texts = texts_of(pairs, nodes, source)
+    label = joined(label, cut(bounded(pairs, nodes, percent), "jaccard-pairs"), texts)
+    ends, bitmaps = cut(ends.join(active, "node"), "jaccard-ends"), nodes.join(active, "node").select("node", "bitmap")
+    for best in (True, False):
+        label = joined(label, cut(tiled(ends.join(label, "node"), bitmaps, percent, best), "jaccard-pairs"), texts)
+    final = nodes.select("node", "least_id").join(label, "node").select("node", "least_id", F.col("label").alias("final"))
     least = final.groupBy("final").agg(F.min("least_id").alias("component_id"))
     final = final.join(least, "final").select("node", "component_id")
     out = members.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(final, "node", "left")
@@ -349,7 +375,7 @@ def texts_of(pairs: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame
     """The texts at the place that names each node of the pairs; ``linked`` passes over one that is not the node's."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = wanted.join(nodes.select("node", "place"), "node")
-    return cut(source.select("place", "text").join(wanted, "place").select("node", "text"), "jaccard-texts")
+    return cut(source.select("place", "text").hint("merge").join(wanted, "place").select("node", "text"), "jaccard-texts")
 
 
 def op7_tile_jaccard(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
