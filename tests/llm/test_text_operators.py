@@ -170,6 +170,19 @@ def test_line_templates_against_brute_force(spark):
     assert line_templates.op8_line_templates(spark, "", spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("leaf", [2, 7, 2000])
+def test_templates_of_any_number_of_variants(spark, monkeypatch, leaf):
+    monkeypatch.setattr(line_templates, "LEAF", leaf)
+    names = ["".join(chr(97 + int(d)) for d in f"{i:02}") for i in range(60)]
+    report = [f"Reported today by {n} on behalf of the whole board yesterday" for n in names]
+    # The same leaf holds a second template and lines that are like no other.
+    notice = [f"Reported today by the clerk without any further comment {n} again" for n in names[:20]]
+    single = ["Reported today by " + " ".join(f"{n}{c}" for c in "qrstuvwx") for n in names[:20]]
+    lines = [*report, *notice, *single]
+    got = line_templates.drop_templates(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got if r["n_dropped"] == 0} == {0, 60, *range(80, 100)}
+
+
 def test_copies_are_not_emptied(spark):
     docs = [(i, "the same first line\nand the same second line") for i in range(5)]
     got = line_templates.drop_templates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
