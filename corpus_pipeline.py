@@ -33,10 +33,26 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """``docs`` with ``key``, equal for rows of one id (or none), one text and ``more``; it sorts by id, null ids last."""
+    number = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    text = F.coalesce(F.sha1(F.col("text").cast("binary")), F.lit("-"))
+    parts = (F.coalesce(F.concat(F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in more)
+    return docs.select(*COLUMNS, F.concat(F.coalesce(number, F.lit("~")), text, *parts).alias("key"))
+
+
+def one_each(rows: DataFrame) -> DataFrame:
+    """One row per ``key``."""
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    found = rows.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.min(F.struct(*rest)).alias("rest"))
+    return found.select("key", "doc_id", "text", *(F.col(f"rest.{c}").alias(c) for c in rest))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of links the document with the least id."""
-    kept = jaccard_components(docs, n=SHINGLE, percent=PERCENT).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id").select(*COLUMNS)
+    """Of each component of links the document with the least id, one without id only where none has one; repeated rows once."""
+    docs = keyed(docs)
+    kept = jaccard_components(docs, n=SHINGLE, percent=PERCENT, id_col="key").where("key = component_id").select("key").distinct()
+    return one_each(docs.hint("merge").join(kept, "key", "left_semi")).select(*COLUMNS)
 
 
 def first_words(text: str, count: str) -> Column:
@@ -55,10 +71,11 @@ def first_words(text: str, count: str) -> Column:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document once for every round that takes it, cut where its source's last round ends."""
-    mixed, _ = mix(docs)
+    docs = keyed(docs, "source")
+    mixed, _ = mix(docs, id_col="key")
     taken = mixed.groupBy("id", "start", "round").agg(F.sum("n_words").alias("n_words"), F.min("from_word").alias("from_word"), F.first("size").alias("size"))
     # A round takes documents from their first word on: only its last document is cut, at its end.
-    both = docs.join(taken.withColumnRenamed("id", "doc_id"), "doc_id")
+    both = one_each(docs).join(taken.withColumnRenamed("id", "key"), "key")
     whole = both.where("n_words = size")
     part = both.where("n_words < size").withColumn("text", first_words("text", "n_words")).withColumn("n_chars", F.length("text").cast("long"))
     return whole.select(*COLUMNS).union(part.select(*COLUMNS))

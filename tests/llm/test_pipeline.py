@@ -62,6 +62,29 @@ def test_stages(spark):
     assert all(r["round_trip"] for r in found)
 
 
+def test_null_and_repeated_ids(spark):
+    rnd = random.Random(4)
+    text = lambda: " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(40))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    row = lambda i, t, source="s0": (i, t, "en", source, len(t))
+    # Without an id, alone and beside a numbered copy; an id thrice for one text and once for another; negative ids.
+    rows = [row(None, a), row(None, a), row(None, b), row(3, b), row(5, c), row(5, c), row(5, c), row(5, d), row(-2, e), row(1, e + " more"), row(None, f, None), row(None, f, None)]
+    single = [row(None, a), row(3, b), row(5, c), row(5, d), row(-2, e), row(None, f, None)]
+    stage = dict(pipeline.STAGES)
+    local = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    got = stage["n-gram Jaccard join"](spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert local(got) == sorted(single, key=repr)
+
+    count = lambda found: collections.Counter({k: sum(len(r[1].split()) for r in found if r[3] == k) for k in ("s0", None)})
+    for given in (single, rows):
+        mixed = local(stage["mixing sources to target weights"](spark, spark.createDataFrame(given, SCHEMA), ""))
+        assert all(any(r[0] == s[0] and s[1].startswith(r[1]) and r[2:4] == s[2:4] and r[4] == len(r[1]) for s in given) for r in mixed)
+        goals = mixing.targets([count(given)[k] for k in ("s0", None)], [1, 2], 3)
+        assert [count(mixed)[k] for k in ("s0", None)] == [int(g + 1e-6) for g in goals]
+    found = stage["BPE encoding and decoding"](spark, spark.createDataFrame(mixed, SCHEMA), "").collect()
+    assert len(found) == len(mixed) and all(r["round_trip"] for r in found)
+
+
 def test_nothing_in_nothing_out(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, f in pipeline.STAGES:
