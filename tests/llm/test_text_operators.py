@@ -129,6 +129,24 @@ def test_secrets(spark):
     assert sorted(r["base_sha256"] == empty for r in got) == [False, True, True]
 
 
+@pytest.mark.parametrize("name", [*secret_scan.ALPHABETS])
+@pytest.mark.parametrize("n", [20, 24, 32])
+def test_short_random_keys(name, n):
+    rnd = random.Random(n)
+    key = lambda: "".join(rnd.choice(secret_scan.ALPHABETS[name]) for _ in range(n))
+    whole = lambda text, k: any(text[a:b] == k for a, _, b in secret_scan.scan(text)[1])
+    assert sum(whole(f"key {k} end", k) for k in (key() for _ in range(100))) >= 85
+
+
+def test_keys_in_paths_and_words():
+    rnd = random.Random(2)
+    key = "-" + "".join(rnd.choice(secret_scan.ALPHABETS["base64url"]) for _ in range(42)) + "_"
+    text = f"see https://docs.example.com/document/d/{key}/edit now"
+    assert [text[a:b] for a, _, b in secret_scan.scan(text)[1]] == [key]
+    for clean in ("20240717123456789012345", "XMLHttpRequestEventTargetFactory2", "/2024/07/17/some-news-article-title-12345", "user_profile_image_url_https_v2", "org/apache/spark/sql/catalyst/expressions", "INTERNATIONALBUSINESSMACHINES"):
+        assert secret_scan.scan(clean)[1] == []
+
+
 def brute_templates(docs, min_docs):
     """The same tree in plain Python: the text of each document without its recurring lines."""
     lines, leaf_docs, by_leaf = [], collections.defaultdict(set), collections.defaultdict(dict)
