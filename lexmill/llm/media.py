@@ -22,8 +22,9 @@ from .common import small_batches, table
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIPS, SAMPLES, ROWS, STRIP_SIZES, PLANAR, PREDICTOR, TILE_W, TILE_H, TILES, TILE_SIZES = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 317, 322, 323, 324, 325
 FIELD = {1: ("B", 1), 2: ("s", 1), 3: ("H", 2), 4: ("I", 4), 6: ("b", 1), 7: ("B", 1), 8: ("h", 2), 9: ("i", 4)}
 PLAIN, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
-#: A page may hold so many bytes; a header that claims more is called damaged.
-MAX_PAGE = 1 << 28
+#: A page may hold so many bytes, or up to what a column can hold if its file is large enough
+#: to pack them (no scheme here packs better than 1 to 4096); a header that claims more is called damaged.
+MAX_PAGE, MOST, PACKED = 1 << 28, (1 << 31) - 64, 4096
 
 
 def pack_bits(data: bytes) -> bytes:
@@ -179,7 +180,7 @@ def page_of(data: bytes, order: str, tags: dict[int, list[int]]) -> dict:
     scheme, predictor, planar = one(COMPRESSION, PLAIN), one(PREDICTOR, 1), one(PLANAR, 1)
     if not w or not h or len({*bits}) != 1 or bits[0] not in (8, 16) or spp < 1:
         raise ValueError("only 8-bit and 16-bit samples are read")
-    if predictor not in (1, 2) or w * h * spp * bits[0] // 8 > MAX_PAGE:
+    if predictor not in (1, 2) or w * h * spp * bits[0] // 8 > max(MAX_PAGE, min(MOST, PACKED * len(data))):
         raise ValueError("unknown predictor or a page too large")
     kind = np.dtype(f"{order}u{bits[0] // 8}")
     tiled = TILES in tags

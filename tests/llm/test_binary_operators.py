@@ -146,3 +146,12 @@ def test_media_query(spark):
         r = got[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"], r["error"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), None)
     assert got[0]["media_sha256"] == got[1]["media_sha256"]
+
+
+def test_page_above_a_quarter_gigabyte():
+    payload = bytes(media.MAX_PAGE + 64)
+    data = media.tiff_of(payload, predictor=1, rows_per_strip=1 << 16)
+    (order, tags), = media.directories(data)
+    assert media.page_of(data, order, tags)["samples"] == payload
+    with pytest.raises(ValueError, match="too large"):
+        media.page_of(data[:4096], order, tags)  # a short file cannot hold it
