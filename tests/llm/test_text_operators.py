@@ -203,10 +203,11 @@ def test_templates_of_any_number_of_variants(spark, monkeypatch, leaf):
 
 def test_long_lines_of_two_documents(spark):
     passage, short = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(51)), "a short line of two documents"
-    edited = passage.replace("wea ", "other ")
-    texts = {1: f"one\n{passage}\n{short}", 2: f"two\n{passage}\n{short}", 3: f"one\n{passage}\n{short}", 4: f"four\n{edited}", 5: passage.rpartition(" ")[0] + "\nfive", 6: passage.rpartition(" ")[0] + "\nsix"}
+    second = passage[::-1]
+    edited = second.replace(" bew ", " other ").replace(" aew ", " other ")
+    texts = {1: f"one\n{passage}\n{short}", 2: f"two\n{passage}\n{short}", 3: f"one\n{passage}\n{short}", 4: f"four\n{second}", 7: f"seven\n{edited}", 5: passage.rpartition(" ")[0] + "\nfive", 6: passage.rpartition(" ")[0] + "\nsix"}
     got = line_templates.drop_templates(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()
-    want = texts | {2: f"two\n{short}", 3: f"one\n{short}", 4: "four"}  # 5 and 6 share 50 words
+    want = texts | {2: f"two\n{short}", 3: f"one\n{short}", 7: "seven"}  # 5 and 6 share 50 words
     assert {r["doc_id"]: r["text"] for r in got} == want
 
 
