@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import shared_folder
+
 #: A word: a run of characters other than the space and U+0009 to U+000D.
 #: ``bytes.split()`` without arguments splits UTF-8 at exactly these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,18 +27,9 @@ def small_batches(spark: SparkSession, rows: int = 2000, mb: int = 8) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file:///tmp/checkpoints"
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared root."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder name below the folder that driver and executors share."""
+    return shared_folder(spark, name)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -45,6 +40,24 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable) -> Callable:
+    """A function of ``mapInArrow`` after which the worker, which Spark uses again, returns freed memory to the system."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def word_count(col: Column) -> Column:
     """Words of a text column, 0 for null."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")

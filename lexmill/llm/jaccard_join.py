@@ -35,16 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, table
+from .common import cut, small_batches, table, tidy
 from .components import components
-from .shingles import mixed, shingle_sets
+from .shared_shingles import cannot_link
+from .shingles import mixed, nodes_of, shingle_sets
 
 N, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_PARTS = 20, 32
 #: Members of one shingle up to which they form a single tile, and of a block beyond it.
 TILE = 1024
-#: Sets that a task remembers to pass over copies.
-MEMO = 200_000
 #: Members that one leader is compared with in one task.
 SHARE = 256
 
@@ -93,35 +92,35 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (a.size + b.size - both)
 
 
-def nodes_of(sets: list[np.ndarray]) -> np.ndarray:
-    """A 64-bit name for each set, the same for equal sets."""
-    sums = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
-    xors = np.array([np.bitwise_xor.reduce(s) if s.size else 0 for s in sets], dtype=np.uint64)
-    sizes = np.array([s.size for s in sets], dtype=np.uint64)
-    return mixed(mixed(sums) ^ (xors + sizes)).view(np.int64)
+def sizes_of(docs: DataFrame, n: int) -> DataFrame:
+    """A row per document: id, place, node, n_shingles."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column("text").to_pylist(), n)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("place"), pa.array(nodes_of(sets)), pa.array([s.size for s in sets], pa.int64())], ["id", "place", "node", "n_shingles"])
+
+    return docs.mapInArrow(tidy(run), f"id {docs.schema['id'].dataType.simpleString()}, place string, node long, n_shingles long")
 
-def features(docs: DataFrame, n: int) -> DataFrame:
-    """A row per document (id, node, n_shingles, bitmap), and per task the counts of its part of the sketch."""
+
+def features(texts: DataFrame, n: int) -> DataFrame:
+    """A row per text (node, n_shingles, bitmap, narrow), and per task the counts of its part of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "place", "node", "n_shingles", "bitmap", "narrow", "part", "counts"]
+        names = ["node", "n_shingles", "bitmap", "narrow", "part", "counts"]
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-        kind = None
         for batch in batches:
-            kind = batch.column("id").type
             sets = shingle_sets(batch.column("text").to_pylist(), n)
             every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             counts += np.bincount((every >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=counts.size).astype(np.uint32)
-            size = len(sets)
             wide = [bitmap_of(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("place"), pa.array(nodes_of(sets)), pa.array([s.size for s in sets], pa.int64()), pa.array(wide, pa.binary()), pa.array([narrowed(b, s.size) for b, s in zip(wide, sets)], pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
-        if kind is not None:
-            parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SKETCH_PARTS)]
-            none = lambda t: pa.nulls(SKETCH_PARTS, t)
-            yield pa.RecordBatch.from_arrays([none(kind), none(pa.string()), none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.binary()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
+            none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.size for s in sets], pa.int64()), pa.array(wide, pa.binary()), pa.array([narrowed(b, s.size) for b, s in zip(wide, sets)], pa.binary()), *none], names)
+        parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SKETCH_PARTS)]
+        none = [pa.nulls(SKETCH_PARTS, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, place string, node long, n_shingles long, bitmap binary, narrow binary, part int, counts binary")
+    return texts.mapInArrow(tidy(run), "node long, n_shingles long, bitmap binary, narrow binary, part int, counts binary")
 
 
 def levels_of(found: DataFrame) -> np.ndarray:
@@ -137,38 +136,31 @@ def levels_of(found: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["part", "counts"])
 
     parts = found.where("part is not null").select("part", "counts")
-    merged = parts.repartition(SKETCH_PARTS, "part").mapInArrow(add, "part int, counts binary").collect()
+    merged = parts.repartition(SKETCH_PARTS, "part").mapInArrow(tidy(add), "part int, counts binary").collect()
     out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), dtype=np.uint64)
     for r in merged:
         out[r["part"]] = np.frombuffer(r["counts"], dtype=np.uint64)
     return np.minimum(8 * np.log2(out.ravel() + 1.0), 255).astype(np.uint8)
 
 
-def prefixes(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
-    """A row (token, node, n_shingles) for every shingle in a document's prefix. The token is level and 56 bits of hash: the order itself."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+def prefixes(texts: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
+    """A row (token, node, n_shingles) for every shingle in a text's prefix. The token is level and 56 bits of hash: the order itself."""
+    shared = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, seen = shared.value, set()  # copies that the task has seen need no second row
+        levels = shared.value
         for batch in batches:
-            tokens, nodes, sizes = [], [], []
-            sets = shingle_sets(batch.column(0).to_pylist(), n)
-            if len(seen) > MEMO:
-                seen.clear()
-            for s, node in zip(sets, nodes_of(sets).tolist()):
-                if not s.size or node in seen:
-                    continue
-                seen.add(node)
+            sets = shingle_sets(batch.column("text").to_pylist(), n)
+            tokens = []
+            for s in sets:
                 key = levels[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | mixed(s) >> np.uint64(8)
                 p = prefix_size(s.size, percent)
                 tokens.append(np.partition(key, p - 1)[:p] if p < s.size else key)
-                nodes.append(node)
-                sizes.append(s.size)
             if tokens:
                 each = [t.size for t in tokens]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), each)), pa.array(np.repeat(np.array(sizes, np.int32), each))], ["token", "node", "n_shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), each)), pa.array(np.repeat(np.array([s.size for s in sets], np.int32), each))], ["token", "node", "n_shingles"])
 
-    return docs.select("text").mapInArrow(run, "token long, node long, n_shingles int")
+    return texts.select("text", "node").mapInArrow(tidy(run), "token long, node long, n_shingles int")
 
 
 def shared_tokens(rows: DataFrame) -> DataFrame:
@@ -203,7 +195,7 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
             at = np.flatnonzero(keep)
             yield pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (token, leader, node, size)], ["token", "leader", "node", "n_shingles"])
 
-    return rows.mapInArrow(run, "token long, leader long, node long, n_shingles int")
+    return rows.mapInArrow(tidy(run), "token long, leader long, node long, n_shingles int")
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -222,7 +214,7 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             at = pa.array(np.flatnonzero(ok))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
 
-    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def tiled(rows: DataFrame, bitmaps: DataFrame, percent: int, best: bool) -> DataFrame:
@@ -292,7 +284,7 @@ def tiled(rows: DataFrame, bitmaps: DataFrame, percent: int, best: bool) -> Data
                 group.append(row)
         yield from done()
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -321,7 +313,7 @@ def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
                     found.append((a[k], node[k]))
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(tidy(run), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,23 +325,27 @@ def jaccard_components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, i
     component; rows with a null id link like others but name no component unless all do.
     """
     spark = docs.sparkSession
-    small_batches(spark, rows=1000, mb=4)
-    place = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.sha1(F.col(text_col).cast("binary"))))
+    small_batches(spark, rows=1000, mb=2)
+    place = F.concat_ws(":", F.xxhash64(text_col).cast("string"), F.col(id_col).cast("string"))  # rows of one id are spread by their texts
     source = docs.select(F.col(id_col).alias("id"), place.alias("place"), F.col(text_col).alias("text"))
-    found = cut(features(source, n), "jaccard-features")
-    members = found.where("part is null").drop("part", "counts")
-    nodes = cut(members.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("least_id"), F.min("place").alias("place"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"), F.first("narrow").alias("narrow")), "jaccard-nodes")
-
-    rows = prefixes(source, levels_of(found), n, percent)
+    members = cut(sizes_of(source, n), "jaccard-members")
+    every = cut(members.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("least_id"), F.min("place").alias("place"), F.first("n_shingles").alias("n_shingles")), "jaccard-nodes")
+    total = every.agg(F.sum("n_shingles")).first()[0] or 0
+    able = every.join(cannot_link(source, total, n, percent), "node", "left_anti")
+    texts = cut(texts_of(cut(able.select("node", "place"), "jaccard-able"), source, n), "jaccard-texts")
+    found = cut(features(texts, n), "jaccard-features")
+    nodes = cut(found.where("part is null").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"), F.first("narrow").alias("narrow")), "jaccard-bitmaps")
+
+    rows = prefixes(texts, levels_of(found), n, percent)
     rows = rows.repartition("token").sortWithinPartitions("token", "node")
     shared = cut(shared_tokens(rows), "jaccard-tokens")
 
     star = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     star = cut(bounded(star, nodes, percent), "jaccard-pairs")
-    near = components(linked(star, texts_of(star, nodes, source), n, percent))
+    near = components(linked(star, texts, n, percent))
     label = cut(nodes.join(near, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "jaccard-labels")
 
-    def joined(label: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def joined(label: DataFrame, pairs: DataFrame) -> DataFrame:
         links = cut(linked(pairs, texts, n, percent), "jaccard-links")
         bridges = links.join(label.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(label.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
         tops = components(bridges.select("la", "lb"), "la", "lb").select(F.col("node").alias("label"), F.col("label").alias("top"))
@@ -359,23 +355,42 @@ def jaccard_components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, i
     pairs = cut(tiled(ends.join(label, "node"), nodes.select("node", F.col("narrow").alias("bitmap")), percent, True), "jaccard-pairs")
     # A node without a pair here has none later: components only grow, and wide bitmaps pass fewer pairs than narrow ones.
     active = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-active")
-    texts = texts_of(pairs, nodes, source)
-    label = joined(label, cut(bounded(pairs, nodes, percent), "jaccard-pairs"), texts)
+    label = joined(label, cut(bounded(pairs, nodes, percent), "jaccard-pairs"))
     ends, bitmaps = cut(ends.join(active, "node"), "jaccard-ends"), nodes.join(active, "node").select("node", "bitmap")
     for best in (True, False):
-        label = joined(label, cut(tiled(ends.join(label, "node"), bitmaps, percent, best), "jaccard-pairs"), texts)
-    final = nodes.select("node", "least_id").join(label, "node").select("node", "least_id", F.col("label").alias("final"))
+        label = joined(label, cut(tiled(ends.join(label, "node"), bitmaps, percent, best), "jaccard-pairs"))
+    final = every.select("node", "least_id").join(label, "node", "left").select("node", "least_id", F.coalesce("label", "node").alias("final"))
     least = final.groupBy("final").agg(F.min("least_id").alias("component_id"))
     final = final.join(least, "final").select("node", "component_id")
     out = members.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(final, "node", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
-def texts_of(pairs: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
-    """The texts at the place that names each node of the pairs; ``linked`` passes over one that is not the node's."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(nodes.select("node", "place"), "node")
-    return cut(source.select("place", "text").hint("merge").join(wanted, "place").select("node", "text"), "jaccard-texts")
+def texts_of(wanted: DataFrame, source: DataFrame, n: int) -> DataFrame:
+    """(node, text) of each wanted (node, place), from the row at its place that has the node's shingles.
+
+    A bitmap of the places' hashes, of at most 8 MB whatever the number of places, holds most
+    other texts back before they are moved.
+    """
+    buckets = 1 << min(11, max(0, (wanted.count() >> 12).bit_length()))
+    spot = F.pmod(F.xxhash64("place"), F.lit(buckets << 15))
+    bits = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    at = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    near = source.select("place", "text", F.bitmap_bucket_number(spot).alias("bucket"), at.alias("at")).join(F.broadcast(bits), "bucket")
+    near = near.where(F.floor(byte / F.pow(F.lit(2), F.col("at") % 8)) % 2 == 1).select("place", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # equal rows come one behind the other
+        for batch in batches:
+            own, keep = nodes_of(shingle_sets(batch.column("text").to_pylist(), n)), []
+            for i, (a, b) in enumerate(zip(own.tolist(), batch.column("node").to_pylist())):
+                if a == b != last:
+                    keep.append(i)
+                    last = b
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    return near.hint("merge").join(wanted, "place").select("node", "text").mapInArrow(tidy(run), "node long, text string")
 
 
 def op7_tile_jaccard(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
