@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; below one of our own only where that is unset."""
+    """A new folder below ``spark.checkpoint.dir``; on a local master alone, below one of our own where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file:///tmp/checkpoints"
-        spark.sparkContext.setCheckpointDir(root)
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = f"file://{tempfile.gettempdir()}/checkpoints"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
