@@ -15,13 +15,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 CELLS = 4096
+#: The place of null keys, before all others; a key of this value is taken for null.
+NULL = -(1 << 63)
+MOST_TASKS = 100_000
 #: More shards than this are refused; their bounds are what the driver holds.
 MOST_SHARDS = 1_000_000
 
@@ -33,13 +36,16 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
 class Shards:
     """Lower bounds of the shards, null keys before all; ``bases`` are the weights before each."""
 
-    def __init__(self, bounds: list[int], bases: list[int], spark):
+    def __init__(self, bounds: list[int], bases: list[int]):
         self.bounds, self.bases = bounds, bases
-        self.frame = spark.createDataFrame([(i, b, w) for i, (b, w) in enumerate(zip(bounds, bases))], T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("bound", T.LongType()), T.StructField("base", T.LongType())]))
 
     def of(self, key: Column) -> Column:
-        """The shard of a key; few bounds are compared one by one, by binary search on a literal array."""
-        return bisected(F.coalesce(key.cast("long"), F.lit(-(1 << 63))), self.bounds)
+        """The shard of a key, by binary search."""
+        return bisected(F.coalesce(key.cast("long"), F.lit(NULL)), self.bounds)
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with a column ``shard``, a shard to a task."""
+        return rows.repartitionById(max(1, len(self.bounds)), F.col("shard"))
 
 
 def bisected(key: Column, bounds: list[int]) -> Column:
@@ -47,33 +53,47 @@ def bisected(key: Column, bounds: list[int]) -> Column:
 
     @F.arrow_udf("int")
     def find(keys: pa.Array) -> pa.Array:
-        import numpy as np
-
         return pa.array((np.searchsorted(np.array(bounds, dtype=np.int64), keys.to_numpy(zero_copy_only=False), side="right") - 1).clip(0).astype("int32"))
 
     return find(key)
 
 
+def cell_of(key: Column, ranges: list[tuple[int, int, int]]) -> Column:
+    """Of sorted ranges (low, high, width of a cell) the number of the one that holds ``key`` times ``CELLS``, plus that of its cell; -1 where none holds it."""
+
+    @F.arrow_udf("long")
+    def find(keys: pa.Array) -> pa.Array:
+        low, high, width = (np.array(x, dtype=np.int64) for x in zip(*ranges))
+        k = keys.to_numpy(zero_copy_only=False)
+        at = (np.searchsorted(low, k, side="right") - 1).clip(0)
+        # As unsigned numbers the difference of two keys never overflows.
+        cell = (k.view(np.uint64) - low[at].view(np.uint64)) // width[at].view(np.uint64)
+        return pa.array(np.where((k >= low[at]) & (k <= high[at]), at * CELLS + cell.astype(np.int64), -1))
+
+    return find(key)
+
+
 def shards_by_weight(rows: DataFrame, key: str, weight: str, per_shard: int) -> Shards:
-    """Shards of about ``per_shard`` of weight in the order of a whole-number key. No rows, one shard."""
-    spark = rows.sparkSession
-    rows = rows.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("k"), F.col(weight).alias("w"))
-    real = rows.where(F.col("k") > -(1 << 63)).agg(F.min("k"), F.max("k")).first()
-    cells: list[tuple[int, int]] = []  # lower bound and weight
-    nulls = rows.where(F.col("k") == -(1 << 63)).agg(F.sum("w")).first()[0]
-    cells.append((-(1 << 63), nulls or 0))
-    todo = [] if real[0] is None else [(real[0], real[1])]
+    """Shards of about ``per_shard`` of weight in the order of a whole-number key. No rows, one shard.
+
+    All cells that are too heavy are cut again in one job; those jobs are at most 64 / 4.
+    """
+    rows = rows.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL)).alias("k"), F.col(weight).alias("w"))
+    real = F.when(F.col("k") > NULL, F.col("k"))
+    low, high, nulls = rows.agg(F.min(real), F.max(real), F.sum(F.when(F.col("k") == NULL, F.col("w")))).first()
+    cells: list[tuple[int, int]] = [(NULL, nulls or 0)]  # lower bound and weight
+    todo = [] if low is None else [(low, high, max(1, -(-(high - low + 1) // CELLS)))]
     while todo:
         heavier = []
-        for low, high in todo:
-            width = max(1, -(-(high - low + 1) // CELLS))
-            part = rows.where(F.col("k").between(low, high)).groupBy(F.floor((F.col("k") - low) / width).cast("long").alias("cell") if (high - low) < 1 << 52 else F.expr(f"(k - {low}) div {width}").alias("cell")).agg(F.sum("w").alias("w")).collect()
-            for r in part:
-                a = low + r["cell"] * width
-                if r["w"] > 2 * per_shard and width > 1:
-                    heavier.append((a, min(high, a + width - 1)))
-                else:
-                    cells.append((a, r["w"]))
+        found = rows.where(F.col("k") > NULL).groupBy(cell_of(F.col("k"), todo).alias("cell")).agg(F.sum("w").alias("w")).where("cell >= 0").collect()
+        for r in sorted(found):
+            low, high, width = todo[r["cell"] // CELLS]
+            a = low + r["cell"] % CELLS * width
+            if r["w"] > 2 * per_shard and width > 1:
+                parts = min(CELLS, 16 * -(-r["w"] // per_shard))  # so cells come to the driver in proportion to shards
+                heavier.append((a, min(high, a + width - 1), -(-width // parts)))
+            else:
+                cells.append((a, r["w"]))
         todo = heavier
     cells.sort()
     bounds, bases, held, total = [], [], 0, 0
@@ -86,7 +106,14 @@ def shards_by_weight(rows: DataFrame, key: str, weight: str, per_shard: int) ->
         total += w
     if len(bounds) > MOST_SHARDS:
         raise ValueError("too many shards; raise per_shard")
-    return Shards(bounds, bases, spark)
+    return Shards(bounds, bases)
+
+
+def files_of(spark, folder: str) -> DataFrame:
+    """``file`` of every row of the manifest, a shard's files to a task, several shards' where there are over ``MOST_TASKS``."""
+    manifest = spark.read.parquet(f"{folder}/_manifest")
+    last = manifest.agg(F.max("shard")).first()[0] or 0
+    return manifest.select("shard", "file").repartitionById(min(MOST_TASKS, last + 1), F.col("shard")).select("file")
 
 
 class TaskFile:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, shared_path, small_batches, table
-from .sharded import TaskFile, commit, shards_by_weight, store
+from .sharded import TaskFile, commit, files_of, shards_by_weight, store
 
 SHARD_BYTES, FILE_BYTES = 64 << 20, 16 << 20
 #: A fixed date, so that equal input gives equal archives.
@@ -80,7 +80,7 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     spark = pages.sparkSession
     small_batches(spark, rows=1000)
     html = F.coalesce(F.col(html_col), F.lit(""))
-    source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("sha"), F.octet_length(html).cast("long").alias("size"))
+    source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha2(html.cast("binary"), 256).alias("sha"), F.octet_length(html).cast("long").alias("size"))
     slim = cut(source.drop("html"), "warc-keys")
     order = F.struct(F.col("page_id").isNull(), "page_id", F.col("url").isNull(), "url")
     groups = slim.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.min(order).alias("least"), F.count("*").alias("n")).where("n > 1")
@@ -91,7 +91,7 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     rows = source.select("page_id", "url", "sha", F.lit(1).alias("role"), "html", none.cast("long").alias("first_id"), none.cast("string").alias("first_url"))
     rows = rows.unionByName(marks.select("page_id", "url", "sha", F.lit(0).alias("role"), none.cast("string").alias("html"), F.col("first_id").cast("long"), "first_url"))
     rows = rows.withColumn("shard", shards.of(F.col("page_id")))
-    rows = rows.repartition(max(1, len(shards.bounds)), "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), "sha", "role")
+    rows = shards.dealt(rows).sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), "sha", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, shard, number, done = None, None, 0, []
@@ -162,7 +162,7 @@ def read_warc(spark, folder: str) -> DataFrame:
 
     page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (null for revisits).
     """
-    files = spark.read.parquet(f"{folder}/_manifest").select("file").repartition(64, "file")
+    files = files_of(spark, folder)
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
     kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
 
