@@ -22,10 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, tokenizer_file
+from .common import small_batches, table, tidy, tokenizer_file
 
 SHORT = 256
-MEMO = 300_000
+#: Words of a generation of the memo: about 20 MB.
+MEMO = 100_000
 NONE = 1 << 40
 
 #: The white space of Unicode, and the word pattern of the public byte-level tokenizer.
@@ -143,7 +144,7 @@ def bpe_encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
     Null and empty texts give an empty array; repeated rows and null ids stay as
     they are; other columns are ignored; an empty table gives an empty one.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, rows=1000, mb=2)
     source = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +155,7 @@ def bpe_encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
             values = np.fromiter(chain.from_iterable(rows), dtype="int32", count=int(ends[-1]))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["key", "ids"])
 
-    return source.mapInArrow(run, f"key {source.schema['key'].dataType.simpleString()}, ids array<int>").withColumnRenamed("key", id_col)
+    return source.mapInArrow(tidy(run), f"key {source.schema['key'].dataType.simpleString()}, ids array<int>").withColumnRenamed("key", id_col)
 
 
 def bpe_decode(ids_col, path: str):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, tidy
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\r\x0b\x0c"
@@ -137,7 +137,7 @@ def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     more; ``longest_repeat`` is 0 below 4 words. Null and empty texts have no word and fail
     the base rules. Repeated rows stay; ``keep`` names columns to carry, others are left out.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, rows=1000, mb=4)
     source = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), *(F.col(c).alias(f"kept_{c}") for c in keep))
     kept = [f"kept_{c}" for c in keep]
     span = pa.struct([("first", pa.int32()), ("last", pa.int32())])
@@ -150,7 +150,7 @@ def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("key"), *(batch.column(c) for c in kept), *columns], ["key", *kept, *longs, "spans"])
 
     given = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in ("key", *kept))
-    found = source.mapInArrow(run, f"{given}, {', '.join(f'{c} long' for c in longs)}, spans array<struct<first:int,last:int>>")
+    found = source.mapInArrow(tidy(run), f"{given}, {', '.join(f'{c} long' for c in longs)}, spans array<struct<first:int,last:int>>")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     good = (F.col("covered_words") <= most_covered * F.col("n_words")) & (F.col("longest_repeat") <= longest)
     names = [F.col("key").alias(id_col), *(F.col(f"kept_{c}").alias(c) for c in keep)]

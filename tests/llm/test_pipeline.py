@@ -8,7 +8,7 @@ from test_jaccard_join import brute as brute_components
 from test_text_operators import brute_templates
 
 import corpus_pipeline as pipeline
-from lexmill.llm import line_templates, mixing, repetition
+from lexmill.llm import mixing, repetition
 from lexmill.llm.common import tokenizer_file
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -35,7 +35,7 @@ def test_stages(spark):
     assert kept == sorted((r for r, g in zip(rows, repetition.measured([r[1] for r in rows], repetition.MIN_WORDS)) if good(g)), key=repr)
 
     lines = local(stage["line dedup"](spark, spark.createDataFrame(kept, SCHEMA), ""))
-    want = brute_templates([(r[0], r[1]) for r in kept], line_templates.MIN_DOCS)
+    want = dict(brute_templates([(r[0], r[1]) for r in kept], keep_first=True))
     assert lines == sorted(((r[0], want[r[0]], r[2], r[3], len(want[r[0]])) for r in kept if want[r[0]].split() or want[r[0]] == r[1]), key=repr)
 
     single = local(stage["n-gram Jaccard join"](spark, spark.createDataFrame(lines, SCHEMA), ""))

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lexmill.llm import langid, line_templates, mixing, repetition, secret_scan
@@ -147,45 +148,67 @@ def test_keys_in_paths_and_words():
         assert secret_scan.scan(clean)[1] == []
 
 
-def brute_templates(docs, min_docs):
-    """The same tree in plain Python: the text of each document without its recurring lines."""
-    lines, leaf_docs, by_leaf = [], collections.defaultdict(set), collections.defaultdict(dict)
-    digest = line_templates.xxhash.xxh64_intdigest
-    for doc, text in docs:
-        for no, part in enumerate((text or "").split("\n")):
-            words = line_templates.masked(part)
+def brute_templates(docs, min_docs=3, keep_first=False):
+    """The rule in plain Python, by none of the operator's functions: the text of each row of ``docs`` without its recurring lines."""
+    variable = re.compile(r"[0-9]|@|://")
+    lines, leaves = [], collections.defaultdict(dict)
+    for row, (doc, text) in enumerate(docs):
+        for no, line in enumerate((text or "").split("\n")):
+            words = ["<*>" if variable.search(w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
             if words:
-                leaf = (len(words), *words[: line_templates.DEPTH])
-                name = digest(b" ".join(words))
-                name = name - (1 << 64) if name >= 1 << 63 else name
-                lines.append((doc, no, text, leaf, name))
-                leaf_docs[leaf].add(text)
-                by_leaf[leaf][name] = words
+                leaf = (len(words), *words[:3])
+                lines.append((row, no, leaf, " ".join(words)))
+                leaves[leaf].setdefault(" ".join(words), set()).add(text)
     template = {}
-    for leaf, found in by_leaf.items():
-        if len(leaf_docs[leaf]) >= min_docs and len(found) > 1:
-            tree = line_templates.Leaf()
-            for name in sorted(found):
-                template[name] = tree.place(name, line_templates.word_ids(found[name]))
+    for leaf, found in leaves.items():
+        # A leaf whose lines recur in too few texts holds no template.
+        if len({t for texts in found.values() for t in texts}) < (2 if leaf[0] > 50 and min_docs > 2 else min_docs):
+            continue
+        tree = []
+        signed = lambda x: (h := xxhash.xxh64_intdigest(x)) - (h >> 63 << 64)
+        for line in sorted(found, key=signed):
+            words = [None if w == "<*>" else w for w in line.split(" ")]
+            agree = [sum(a == b and a is not None for a, b in zip(t, words)) for t, _ in tree]
+            best = agree.index(max(agree)) if agree else None
+            if best is not None and agree[best] >= 0.7 * len(words):
+                tree[best][0][:] = [a if a == b else None for a, b in zip(tree[best][0], words)]
+                template[line] = tree[best][1]
+            else:
+                tree.append((words, line))
     texts, first = collections.defaultdict(set), {}
-    for doc, no, text, leaf, name in lines:
-        t = template.get(name, name)
-        texts[t].add(text)
-        first[t] = min(first.get(t, doc), doc)
-    gone = {(doc, no) for doc, no, _, _, name in lines if len(texts[template.get(name, name)]) >= min_docs and doc != first[template.get(name, name)]}
-    return {doc: None if text is None else "\n".join(p for k, p in enumerate(text.split("\n")) if (doc, k) not in gone) for doc, text in docs}
+    order = lambda row: (docs[row][0] is None, docs[row][0] or 0)
+    for row, no, leaf, line in lines:
+        t = template.get(line, line)
+        texts[t].add(docs[row][1])
+        first[t] = min(first.get(t, row), row, key=order)
+    often = lambda t: len(texts[t]) >= (min(2, min_docs) if len(t.split(" ")) > 50 else min_docs)
+    same = lambda row, t: keep_first and docs[row] == docs[first[t]]
+    gone = {(row, no) for row, no, _, line in lines if often(t := template.get(line, line)) and not same(row, t)}
+    return [(doc, None if text is None else "\n".join(p for k, p in enumerate(text.split("\n")) if (row, k) not in gone)) for row, (doc, text) in enumerate(docs)]
 
 
-def test_line_templates_against_brute_force(spark):
+def rows_of(frame):
+    return sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=repr)
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_line_templates_against_brute_force(spark, keep_first):
     rnd = random.Random(3)
     noise = [" ".join(rnd.choice("abcdefghijkl") * 3 for _ in range(rnd.randrange(1, 9))) for _ in range(40)]
     log = [f"User {rnd.randrange(99)} logged in from host{rnd.randrange(9)} at {rnd.randrange(24)}:00 as {rnd.choice(['admin', 'guest', 'root'])} today" for _ in range(30)]
     docs = [(i, "\n".join(rnd.choice(noise + log + ["", "All rights reserved."]) for _ in range(rnd.randrange(1, 6)))) for i in range(60)]
-    docs += [(100, docs[0][1]), (101, None), (102, "")]
-    got = {r["doc_id"]: r["text"] for r in line_templates.drop_templates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == brute_templates(docs, line_templates.MIN_DOCS)
-    assert sum(t is not None and "logged in" in t for t in got.values()) < sum("logged in" in (t or "") for _, t in docs)
-    assert line_templates.op8_line_templates(spark, "", spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(3000))
+    docs += [(100, docs[0][1]), (101, None), (102, ""), (103, f"{long}\nend"), (104, f"start\n{long}")]
+    # One id with several texts, a repeated row, rows without id.
+    docs += [(7, "first text\nAll rights reserved."), (7, "other text\nunique content stays here\nmore"), docs[5], (None, "first text\nno id"), (None, None), (None, docs[3][1])]
+    table = spark.createDataFrame([(*d, "x", 1, True) for d in docs], "doc_id long, text string, place string, line_no int, gone boolean")
+    got = line_templates.drop_templates(table, keep_first=keep_first)
+    assert got.columns == ["doc_id", "n_lines", "n_dropped", "text"]
+    assert rows_of(got) == sorted(brute_templates(docs, keep_first=keep_first), key=repr)
+    if not keep_first:
+        assert not any("logged in" in (r["text"] or "") for r in got.collect())
+        assert (7, "other text\nunique content stays here\nmore") in rows_of(got)
+        assert line_templates.op8_line_templates(spark, "", spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
 @pytest.mark.parametrize("leaf", [2, 7, 2000])
@@ -198,7 +221,7 @@ def test_templates_of_any_number_of_variants(spark, monkeypatch, leaf):
     single = ["Reported today by " + " ".join(f"{n}{c}" for c in "qrstuvwx") for n in names[:20]]
     lines = [*report, *notice, *single]
     got = line_templates.drop_templates(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
-    assert {r["doc_id"] for r in got if r["n_dropped"] == 0} == {0, 60, *range(80, 100)}
+    assert {r["doc_id"] for r in got if r["n_dropped"] == 0} == {*range(80, 100)}
 
 
 def test_long_lines_of_two_documents(spark):
@@ -206,7 +229,7 @@ def test_long_lines_of_two_documents(spark):
     second = passage[::-1]
     edited = second.replace(" bew ", " other ").replace(" aew ", " other ")
     texts = {1: f"one\n{passage}\n{short}", 2: f"two\n{passage}\n{short}", 3: f"one\n{passage}\n{short}", 4: f"four\n{second}", 7: f"seven\n{edited}", 5: passage.rpartition(" ")[0] + "\nfive", 6: passage.rpartition(" ")[0] + "\nsix"}
-    got = line_templates.drop_templates(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()
+    got = line_templates.drop_templates(spark.createDataFrame([*texts.items()], "doc_id long, text string"), keep_first=True).collect()
     want = texts | {2: f"two\n{short}", 3: f"one\n{short}", 7: "seven"}  # 5 and 6 share 50 words
     assert {r["doc_id"]: r["text"] for r in got} == want
 
