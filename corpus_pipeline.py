@@ -27,8 +27,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of recurring templates; one that had words and lost them all goes."""
-    found = drop_templates(docs, keep=("lang", "source"))
+    """Documents without the lines of recurring templates, which the first document of each keeps; one that had words and lost them all goes.
+
+    So the join that follows still finds what near copies share in one of them.
+    """
+    found = drop_templates(docs, keep_first=True, keep=("lang", "source"))
     left = found.where((F.col("n_dropped") == 0) | (word_count(F.col("text")) > 0))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
