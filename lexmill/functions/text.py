@@ -126,3 +126,14 @@ def premise(headline: Column, text: Column) -> Column:
 def names_match(a: Column, b: Column) -> Column:
     """Whether one name contains the other, whatever the case."""
     return F.contains(F.lower(a), F.lower(b)) | F.contains(F.lower(b), F.lower(a))
+
+
+def head_sum(headline: Column, summary: Column) -> Column:
+    """Headline and summary on two lines; one alone where the other is null."""
+    return F.concat_ws("\n", headline, summary)
+
+
+def rejection(text: Column, *needed: Column) -> Column:
+    """Why a request is refused: blank text, or an empty or null array of ``needed``; null where it is good."""
+    blank = F.when(F.length(F.trim(F.coalesce(text, F.lit("")))) == 0, "blank text")
+    return F.coalesce(blank, *(F.when(F.coalesce(F.size(n), F.lit(0)) <= 0, "nothing asked") for n in needed))

@@ -62,13 +62,22 @@ def decision(score: Column, match: float, low: float, verdict: Column | None = N
     return F.when(score >= match, "match").when((score >= low) & said, "match").otherwise("no_match")
 
 
-def decide_items(queries: DataFrame, rows: DataFrame, *, match: float = MATCH, low: float = ITEM_LOW, k: int = TOP_K, type_col: str | None = None, id_col: str = "id", vector_col: str = "vector") -> DataFrame:
-    """query_id, decision, target_id, score: only the nearest other row is ever considered."""
+def decide_items(queries: DataFrame, rows: DataFrame, *, match: float = MATCH, low: float = ITEM_LOW, k: int = TOP_K, type_col: str | None = None, verdicts: DataFrame | None = None, id_col: str = "id", vector_col: str = "vector") -> DataFrame:
+    """query_id, decision, target_id, score: only the nearest other row is ever considered.
+
+    Between ``low`` and ``match`` a row of ``verdicts`` (id_a: the query, id_b, verdict) that says yes makes a match.
+    """
     best = nearest(queries, rows, k=k, id_col=id_col, vector_col=vector_col, type_col=type_col).where("id <> query_id")
     first = best.groupBy("query_id").agg(F.min_by(F.struct("id", "score"), F.col("rank")).alias("top"))
     everyone = queries.select(F.col(id_col).cast("long").alias("query_id"))
-    verdict = decision(F.col("top.score"), match, low)
-    return everyone.join(first, "query_id", "left").select("query_id", verdict.alias("decision"), F.when(verdict == "match", F.col("top.id")).alias("target_id"), F.coalesce("top.score", F.lit(0.0)).alias("score"))
+    pairs = everyone.join(first, "query_id", "left")
+    if verdicts is None:
+        verdict = decision(F.col("top.score"), match, low)
+    else:
+        said = verdicts.where("verdict = 'yes'").select(F.col("id_a").alias("query_id"), F.col("id_b").alias("asked"), F.lit("yes").alias("said")).distinct()
+        pairs = pairs.join(said, (pairs["query_id"] == said["query_id"]) & (F.col("top.id") == F.col("asked")), "left").drop(said["query_id"])
+        verdict = decision(F.col("top.score"), match, low, F.col("said"))
+    return pairs.select("query_id", verdict.alias("decision"), F.when(verdict == "match", F.col("top.id")).alias("target_id"), F.coalesce("top.score", F.lit(0.0)).alias("score"))
 
 
 def cluster_corpus(rows: DataFrame, *, merge: float = MERGE, low: float = CORPUS_LOW, k: int = TOP_K, type_col: str | None = None, verdicts: DataFrame | None = None, id_col: str = "id", vector_col: str = "vector") -> DataFrame:

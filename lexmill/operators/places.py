@@ -104,10 +104,11 @@ def streets_in_cities(streets: DataFrame, cities: DataFrame, edges: DataFrame) -
     """
     centre = cities.groupBy("doc_id").agg(F.avg("lat").alias("mid_lat"), F.avg("lon").alias("mid_lon"))
     asked = streets.withColumn("key", normalize(without_street_prefix(F.col("text"))))
-    held = edges.select("edge_id", "city_id", normalize(without_street_prefix(F.col("name"))).alias("key"))
+    # Edges fold to a row per city and street before they meet the texts.
+    held = edges.groupBy("city_id", normalize(without_street_prefix(F.col("name"))).alias("key")).agg(F.array_sort(F.collect_set("edge_id")).alias("edge_ids"))
     places = cities.where("city_id is not null").select("doc_id", F.col("ord").alias("city_ord"), "city_id", "city_name", "lat", "lon")
     hits = asked.join(places, "doc_id").join(held, ["city_id", "key"])
-    per = hits.groupBy("doc_id", "ord", "text", "city_id").agg(F.array_sort(F.collect_set("edge_id")).alias("edge_ids"), F.min(F.struct("city_ord", "city_name", "lat", "lon")).alias("city"))
+    per = hits.withColumn("city", F.struct("city_ord", "city_name", "lat", "lon"))  # a city that is mentioned twice keeps its first mention below
     away = haversine(F.col("city.lat"), F.col("city.lon"), F.col("mid_lat"), F.col("mid_lon"))
     best = F.min_by(F.struct("city_id", "city.city_name", "edge_ids"), F.struct(F.coalesce(away, F.lit(float("inf"))), "city.city_ord"))
     return per.join(centre, "doc_id").groupBy("doc_id", "ord", "text").agg(best.alias("b")).select("doc_id", "ord", "text", "b.*")

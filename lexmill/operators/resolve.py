@@ -61,6 +61,44 @@ def cluster_ids(candidates: DataFrame, doc: tuple[str, ...] = ("doc_id",)) -> Da
     return candidates.withColumn("type_ord", first).withColumn("id", number.cast("string")).drop("type_ord")
 
 
+def resolved_entities(candidates: DataFrame, clusters: DataFrame, doc: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The entities of each document with ``id`` from "0": clusters of candidates, singletons for those of none.
+
+    ``clusters``: doc, type, cluster_ord, candidate_ord, canonical_name, subtype, as a model
+    refines them; no rows where it failed, so all candidates stay alone. Types come by first
+    sight, within a type clusters by number. Names are distinct, evidence complete, both by candidate.
+    """
+    said = clusters.groupBy(*doc, "type", "cluster_ord").agg(F.min(F.struct("canonical_name", "subtype")).alias("said"))
+    own = candidates.select(*doc, "type", F.col("ord").alias("candidate_ord"), F.struct("canonical_name", "subtype").alias("own"), "names", "evidence")
+    whole = with_leftovers(candidates, clusters, doc).join(own, [*doc, "type", "candidate_ord"])
+    in_turn = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("candidate_ord", c))), lambda x: x[c]))
+    made = whole.groupBy(*doc, "type", "cluster_ord").agg(
+        F.min_by("own", "candidate_ord").alias("own"),
+        F.array_distinct(in_turn("names")).alias("names"),
+        in_turn("evidence").alias("evidence"),
+    )
+    first = candidates.groupBy(*doc, "type").agg(F.min("ord").alias("type_ord"))
+    named = made.join(said, [*doc, "type", "cluster_ord"], "left").join(first, [*doc, "type"])
+    main = F.when(F.col("said").isNotNull(), F.col("said")).otherwise(F.col("own"))
+    number = F.row_number().over(Window.partitionBy(*doc).orderBy("type_ord", "cluster_ord")) - 1
+    return named.select(*doc, number.cast("string").alias("id"), main["canonical_name"].alias("canonical_name"), "names", "type", main["subtype"].alias("subtype"), "evidence")
+
+
+def refined(candidates: DataFrame, refine, doc: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """What ``resolved_entities`` takes, from ``refine``: a DataFrame function from groups (doc, type, items) to (doc, type, clusters).
+
+    ``items``: structs (candidate_ord, canonical_name, names) in order; only groups of two or
+    more are asked. ``clusters``: structs (canonical_name, subtype, members), members being
+    positions of items from 0; null where the model failed.
+    """
+    items = F.array_sort(F.collect_list(F.struct(F.col("ord").alias("candidate_ord"), "canonical_name", "names"))).alias("items")
+    groups = candidates.groupBy(*doc, "type").agg(items).where(F.size("items") > 1)
+    said = refine(groups).select(*doc, "type", F.posexplode("clusters").alias("cluster_ord", "c"))
+    rows = said.select(*doc, "type", F.col("cluster_ord").cast("long").alias("cluster_ord"), F.explode("c.members").alias("at"), "c.canonical_name", "c.subtype")
+    placed = rows.join(groups, [*doc, "type"]).where((F.col("at") >= 0) & (F.col("at") < F.size("items")))
+    return placed.select(*doc, "type", "cluster_ord", F.get("items", F.col("at"))["candidate_ord"].alias("candidate_ord"), "canonical_name", "subtype")
+
+
 def name_map(resolved: DataFrame, doc: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(doc, name, id): the least numbered cluster that has the surface name, whatever its type."""
     rows = resolved.select(*doc, F.col("id").cast("long").alias("no"), F.explode("names").alias("name"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shared import written
+
 
 def short_circuit(scores: DataFrame, threshold: float, *, blacklist: bool = False, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
     """The hypotheses that are asked until one decides, that one included.
@@ -48,6 +53,29 @@ def softmax(scores: DataFrame, doc: str = "doc_id") -> DataFrame:
     return scores.withColumn("raised", raised).withColumn("score", F.col("raised") / F.sum("raised").over(every)).drop("raised")
 
 
+def sorted_labels(scores: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """doc, ``labels`` and ``scores``: all labels of a document by falling score, ties by position."""
+    rows = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "pos", "hypothesis", "score")))
+    part = lambda c: F.transform("rows", lambda x: x[c])
+    return scores.groupBy(doc).agg(rows.alias("rows")).select(doc, part("hypothesis").alias("labels"), part("score").alias("scores"))
+
+
+def asked_in_turn(docs: DataFrame, hypotheses: list[str], score: Callable[[DataFrame, list[str]], DataFrame], threshold: float, *, blacklist: bool = False, doc: str = "doc_id") -> DataFrame:
+    """(doc, pos, hypothesis, score) of the hypotheses a model is asked until one decides.
+
+    ``score`` gives (doc, pos, hypothesis, score) for texts and hypotheses, as ``adapters.scores``
+    does. One hypothesis is asked at a time, and only of documents that none has decided, so the
+    model is called no more than need be; there are as many rounds as hypotheses.
+    """
+    left, rounds = docs, []
+    for k, hypothesis in enumerate(hypotheses):
+        got = written(score(left, [hypothesis]).withColumn("pos", F.lit(k)), "asked")
+        rounds.append(got.select(doc, "pos", "hypothesis", "score"))
+        go = F.col("score") < threshold if blacklist else F.col("score") >= threshold
+        left = left.join(got.where(go).select(doc), doc, "left_semi")
+    return reduce(DataFrame.unionByName, rounds)
+
+
 def scorecard(found: DataFrame, *, keys: tuple[str, ...], case: str = "case_id") -> DataFrame:
     """Per case: expected, matched, false positives and whether it passes; ``expected`` and ``got`` are flags of each row."""
     both = F.col("expected") & F.col("got")

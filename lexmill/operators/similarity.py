@@ -28,45 +28,82 @@ def shingle_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).alias("id"), F.array_distinct(shingles(words(normalize(text)), n)).alias("shingles"))
 
 
+def hashed(sets: DataFrame) -> DataFrame:
+    """The sets with 64-bit hashes for shingles, in order: a fraction of the bytes wherever they travel."""
+    return sets.select("id", F.array_sort(F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s)))).alias("shingles"))
+
+
 def classes(sets: DataFrame) -> DataFrame:
-    """id and rep, the least id with the same non-empty set."""
-    keyed = sets.where(F.size("shingles") > 0).select("id", F.sha1(F.array_join(F.array_sort("shingles"), "\n")).alias("key"))
+    """id and rep, the least id with the same non-empty set, for sets of ``hashed``."""
+    keyed = sets.where(F.size("shingles") > 0).select("id", F.struct(F.size("shingles"), F.xxhash64("shingles"), F.xxhash64(F.lit(1), "shingles")).alias("key"))
     reps = keyed.groupBy("key").agg(F.min("id").alias("rep"))
     return keyed.join(reps, "key").select("id", "rep")
 
 
-def jaccard_pairs(sets: DataFrame, cut: float = CUT) -> DataFrame:
-    """a, b, common, jaccard for pairs of ids whose sets reach ``cut``.
+def prefixes(sets: DataFrame, cut: float) -> DataFrame:
+    """(id, n, s): of each hashed set the shingles that one similar enough shares one of at least, so far as any other set has them.
 
     Under one order of all shingles, rare ones first, two such sets share one of their first
-    |S| - ceil(cut |S|) + 1; only these prefixes meet, and candidates are decided on whole sets.
+    |S| - ceil(cut |S|) + 1. Shingles of a single set come first and only shorten what is left.
     """
-    items = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).select("id", "n", F.xxhash64("s").alias("s"))
-    items = written(items, "shingles")
-    rare = items.groupBy("s").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("id").orderBy("df", "s")
-    prefix = items.join(rare.where("df > 1"), "s").withColumn("rest", F.col("n"))
-    # Shingles of a single set come first in the order; they only shorten what is left of the prefix.
-    single = items.join(rare.where("df = 1"), "s", "left_semi").groupBy("id").agg(F.count("*").alias("alone"))
-    prefix = prefix.join(single, "id", "left").withColumn("rank", F.row_number().over(order) + F.coalesce("alone", F.lit(0)))
-    prefix = prefix.where(F.col("rank") <= F.col("n") - F.ceil(F.lit(cut) * F.col("n") - 1e-9) + 1).select("id", "n", "s")
-    x, y = prefix.select("s", F.col("id").alias("a"), F.col("n").alias("n_a")), prefix.select("s", F.col("id").alias("b"), F.col("n").alias("n_b"))
-    near = x.join(y, "s").where((F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= F.lit(cut) * F.greatest("n_a", "n_b") - 1e-9)).select("a", "b").distinct()
+    items = written(sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "shingles")
+    often = items.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    shared = items.join(often, "s")
+    place = Window.partitionBy("id").orderBy("df", "s")
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("id"))
+    ranked = shared.withColumn("rank", F.row_number().over(place) + alone)
+    return ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.lit(cut) * F.col("n") - 1e-9) + 1).select("id", "n", "s")
+
+
+def sizes_allow(cut: float, a: str = "n_a", b: str = "n_b") -> Column:
+    return F.least(a, b) >= F.lit(cut) * F.greatest(a, b) - 1e-9
+
+
+def verified(pairs: DataFrame, sets: DataFrame, cut: float) -> DataFrame:
+    """a, b, common, jaccard of the pairs (a, b) whose whole sets reach ``cut``."""
     side = lambda c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = near.join(side("a"), "a").join(side("b"), "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
     found = both.select("a", "b", common.cast("long").alias("common"), (common / (F.size("set_a") + F.size("set_b") - common)).alias("jaccard"))
     return found.where(F.col("jaccard") >= cut)
 
 
+def jaccard_pairs(sets: DataFrame, cut: float = CUT) -> DataFrame:
+    """a, b, common, jaccard for all pairs of ids whose hashed sets reach ``cut``; every pair is a row of the result."""
+    prefix = written(prefixes(sets, cut), "prefixes")
+    x, y = prefix.select("s", F.col("id").alias("a"), F.col("n").alias("n_a")), prefix.select("s", F.col("id").alias("b"), F.col("n").alias("n_b"))
+    near = x.join(y, "s").where((F.col("a") < F.col("b")) & sizes_allow(cut)).select("a", "b").distinct()
+    return verified(near, sets, cut)
+
+
+def jaccard_components(sets: DataFrame, cut: float = CUT) -> DataFrame:
+    """id and cluster_id of hashed sets: components of the links, without making all pairs of a family.
+
+    First every set is compared with the least of each of its prefix shingles; what links forms
+    components. Only sets that still are in different components, and share such a shingle, meet then.
+    """
+    prefix = written(prefixes(sets, cut), "prefixes")
+    lead = prefix.groupBy("s").agg(F.min(F.struct("id", "n")).alias("lead"))
+    star = prefix.join(lead, "s").select(F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b"))
+    star = star.where((F.col("a") < F.col("b")) & sizes_allow(cut)).select("a", "b").distinct()
+    label = written(connected_components(sets.select("id"), verified(star, sets, cut).select("a", "b")), "labels")
+    tagged = prefix.join(label, "id")
+    apart = tagged.groupBy("s").agg(F.min("cluster_id").alias("low"), F.max("cluster_id").alias("high")).where("low <> high").select("s")
+    tagged = tagged.join(apart, "s", "left_semi")
+    side = lambda c: tagged.select("s", F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("cluster_id").alias(f"of_{c}"))
+    rest = side("a").join(side("b"), "s").where((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & sizes_allow(cut)).select("a", "b").distinct()
+    of = lambda c: label.select(F.col("id").alias(c), F.col("cluster_id").alias(f"of_{c}"))
+    bridges = verified(rest, sets, cut).join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    tops = connected_components(label.select(F.col("cluster_id").alias("id")).distinct(), bridges)
+    return label.join(tops.select(F.col("id").alias("cluster_id"), F.col("cluster_id").alias("top")), "cluster_id").select("id", F.col("top").alias("cluster_id"))
+
+
 def near_duplicate_clusters(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT, n: int = SHINGLE) -> DataFrame:
     """``id_col`` and ``cluster_id`` for every document: components of the links between set classes."""
-    sets = written(shingle_sets(docs, id_col=id_col, text_col=text_col, n=n), "sets")
+    sets = written(hashed(shingle_sets(docs, id_col=id_col, text_col=text_col, n=n)), "sets")
     member = written(classes(sets), "classes")
     reps = sets.join(member.where("id = rep").select("id"), "id", "left_semi")
-    links = jaccard_pairs(reps, cut).select("a", "b")
-    label = connected_components(reps, links)
-    found = member.join(label.withColumnRenamed("id", "rep"), "rep").select("id", "cluster_id")
+    found = member.join(jaccard_components(reps, cut).withColumnRenamed("id", "rep"), "rep").select("id", "cluster_id")
     return sets.select("id").join(found, "id", "left").select(F.col("id").alias(id_col), F.coalesce("cluster_id", "id").alias("cluster_id"))
 
 
@@ -104,9 +141,23 @@ def banded_pairs(signed: DataFrame, *, bands: int = 32, cut: float = CUT) -> Dat
     return found.where(F.col("agreement") >= cut)
 
 
+def first_recent(new: DataFrame, window: DataFrame, *, bands: int = 32, cut: float = CUT) -> DataFrame:
+    """id and ``match``, null where there is none: for each signature the most recent row of ``window`` that agrees in ``cut`` of the places.
+
+    ``new``: id, signature; ``window``: id, signature, date (ties by least id), bounded by the
+    caller (``sources.tables.newest``). Rows that share no band are not compared; one id in both is no match of itself.
+    """
+    key = lambda df: df.where(F.size("signature") >= bands).withColumn("band", F.explode(F.expr(f"transform(sequence(0, {bands - 1}), i -> xxhash64(i, slice(signature, i * cast(size(signature) / {bands} as int) + 1, cast(size(signature) / {bands} as int))))")))
+    met = key(new).select("id", "band").join(key(window).select("band", F.col("id").alias("old")), "band").where("id <> old").select("id", "old").distinct()
+    sides = met.join(new.select("id", F.col("signature").alias("sig_a")), "id").join(window.select(F.col("id").alias("old"), F.col("signature").alias("sig_b"), "date"), "old")
+    good = sides.where(agreement(F.col("sig_a"), F.col("sig_b")) >= cut)
+    best = good.groupBy("id").agg(F.max_by("old", F.struct("date", -F.col("old"))).alias("match"))
+    return new.select("id").join(best, "id", "left")
+
+
 def containment(docs: DataFrame, passages: DataFrame, *, id_col: str, item_col: str, text_col: str = "text", n: int = SHINGLE, cut: float = 0.8) -> DataFrame:
     """Documents that hold at least ``cut`` of a passage's shingles."""
-    items = shingle_sets(passages, id_col=item_col, text_col=text_col, n=n).select(F.col("id").alias(item_col), F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
-    held = shingle_sets(docs, id_col=id_col, text_col=text_col, n=n).select(F.col("id").alias(id_col), F.explode("shingles").alias("s"))
+    items = hashed(shingle_sets(passages, id_col=item_col, text_col=text_col, n=n)).select(F.col("id").alias(item_col), F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
+    held = hashed(shingle_sets(docs, id_col=id_col, text_col=text_col, n=n)).select(F.col("id").alias(id_col), F.explode("shingles").alias("s"))
     both = held.join(items, "s").groupBy(id_col, item_col, "size").agg(F.count("*").alias("n_common"))
     return both.where(F.col("n_common") >= cut * F.col("size")).select(id_col, item_col, "n_common", (F.col("n_common") / F.col("size")).alias("containment"))

@@ -156,3 +156,34 @@ def summarize(rows: DataFrame, kind: str, generate: Callable[[DataFrame], DataFr
     return first.select(id_col, *(F.col(f"result.{c}").alias(c) for c in p.outputs), status.alias("status"), F.when(F.col("result").isNull(), "generation failed").alias("reason"))
 
 
+
+
+def rendered(rows: DataFrame, template: str, id_col: str = "id") -> DataFrame:
+    """id, ``prompt`` and ``reason``: the template with its ``{field}`` marks filled from columns, ``{{`` and ``}}`` for braces.
+
+    A field that is no column or null leaves the prompt null and its name in ``reason``.
+    """
+    from string import Formatter
+
+    parts, names = [], []
+    for text, field, _, _ in Formatter().parse(template):
+        parts.append(F.lit(text))
+        if field is not None:
+            names.append(field)
+            parts.append(F.col(field).cast("string") if field in rows.columns else F.lit(None).cast("string"))
+    lacks = F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(F.col(n).isNull(), n) if n in rows.columns else F.lit(n) for n in dict.fromkeys(names))))
+    reason = F.when(F.size(lacks) > 0, F.concat(F.lit("missing field: "), F.array_join(lacks, ", ")))
+    return rows.select(id_col, F.concat(*parts).alias("prompt"), reason.alias("reason"))
+
+
+def summarize_fields(rows: DataFrame, kind: str, template: str, generate: Callable[[DataFrame], DataFrame], *, id_col: str = "id") -> DataFrame:
+    """``summarize`` from the fields: long text reduced, lists joined, the prompt rendered; a missing field is an error row, which the model is not asked."""
+    p = profile(kind)
+    fields = prepared_fields(rows)
+    if p.reducible in fields.columns:
+        short = reduced(fields.select(id_col, p.reducible), id_col=id_col, text_col=p.reducible)
+        fields = fields.drop(p.reducible).join(short, id_col, "left")
+    prompts = rendered(fields, template, id_col)
+    good = summarize(prompts.where("reason is null").select(id_col, "prompt"), kind, generate, id_col)
+    bad = prompts.where("reason is not null").select(id_col, *(F.lit(None).cast("string").alias(c) for c in p.outputs), F.lit("error").alias("status"), "reason")
+    return good.unionByName(bad)

@@ -34,7 +34,13 @@ def test_exact_join_against_brute_force(spark):
     sets = similarity.shingle_sets(spark.createDataFrame(docs, "doc_id long, text string"))
     known = {r["id"]: set(r["shingles"]) for r in sets.collect()}
     want = {(a, b) for a in known for b in known if a < b and known[a] and known[b] and len(known[a] & known[b]) / len(known[a] | known[b]) >= 0.6}
-    assert {(r["a"], r["b"]) for r in similarity.jaccard_pairs(sets, 0.6).collect()} == want and want
+    hashed = similarity.hashed(sets)
+    assert {(r["a"], r["b"]) for r in similarity.jaccard_pairs(hashed, 0.6).collect()} == want and want
+    label = {k: k for k in known}
+    for _ in known:
+        for a, b in want:
+            label[a] = label[b] = min(label[a], label[b])
+    assert dict(rows(similarity.jaccard_components(hashed, 0.6))) == label
 
 
 def test_nearest_ties_and_zero_vectors(spark):
