@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from lexmill.llm import jaccard_join
+from lexmill.llm import jaccard_join, shared_shingles
 
 
 def brute(rows, n, percent):
@@ -47,6 +47,10 @@ def corpus(seed):
 def test_components(spark, monkeypatch, seed, n, percent, tile):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
     monkeypatch.setattr(jaccard_join, "SHARE", 3)
+    if tile == 4:  # blocks of few shingles, in many buckets
+        monkeypatch.setattr(shared_shingles, "BLOCK", 300)
+        monkeypatch.setattr(shared_shingles, "BLOCK_DOCS", 3)
+        monkeypatch.setattr(shared_shingles, "BUCKET", 200)
     rows = corpus(seed) + [(None, "a b c d e f g"), (None, "A B C D E F G"), (3, "same id other text now")]
     got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), n=n, percent=percent)
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, n, percent)
@@ -54,3 +58,16 @@ def test_components(spark, monkeypatch, seed, n, percent, tile):
 
 def test_empty(spark):
     assert jaccard_join.op7_tile_jaccard(spark, "", spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_ruled_out(spark):
+    """Exactly the documents of which too few shingles occur in another are ruled out."""
+    rnd = random.Random(8)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    shared = [word() for _ in range(100)]
+    # 97 shingles of 4 words in all; the first k are shared.
+    texts = {k: " ".join(shared[: k + 3] + [word() for _ in range(97 - k)]) for k in (97, 84, 83, 82, 81, 40)}
+    docs = spark.createDataFrame([(k, t) for k, t in texts.items()] + [(0, " ".join(shared)), (1, None)], "doc_id long, text string")
+    out = {r["node"] for r in shared_shingles.cannot_link(docs, 97 * 7, 4, 85).collect()}
+    nodes = dict(zip(texts, shared_shingles.nodes_of(shared_shingles.shingle_sets([*texts.values()], 4)).tolist()))
+    assert {k for k, node in nodes.items() if node in out} == {82, 81, 40}  # 83 of 97 is the first share of 85 percent
