@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .bpe import byte_alphabet
 from .common import cut, shared_path, small_batches, table, tidy, tokenizer_file
-from .sharded import TaskFile, commit, files_of, shards_by_weight, store
+from .sharded import TaskFile, commit, files_of, shards_by_weight, store, tie_of
 
 MAGIC = b"LMHUF001"
 LIMIT, BLOCK, STRIDE = 16, 1 << 16, 64
@@ -260,17 +260,18 @@ def global_counts(rows: DataFrame, vocabulary: int) -> np.ndarray:
 def write_tokens(docs: DataFrame, folder: str, path: str, *, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the ids of every row of ``docs`` below ``folder`` in ascending order of the id; the manifest.
 
-    Null ids come first; rows with equal ids are sorted by their token ids. No rows, no files.
+    Null ids come first; rows with equal ids are sorted by a hash of their token ids, then these. No rows, no files.
     """
     spark = docs.sparkSession
     small_batches(spark, rows=3000, mb=6)
     rows = cut(tokenized(docs, path, id_col=id_col, text_col=text_col), "token-ids")
     vocabulary = words_of(path).vocabulary
     lengths = code_lengths(global_counts(rows, vocabulary))
-    shards = shards_by_weight(rows, "key", "n_tokens", shard_tokens)
+    shards = shards_by_weight(rows, "key", "n_tokens", shard_tokens, tie_of("ids"))
     tables = spark.sparkContext.broadcast((lengths, shards.bases))
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    dealt = shards.dealt(rows.withColumn("shard", shards.of(F.col("key")))).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "ids")
+    rows = rows.withColumn("tie", tie_of("ids"))
+    dealt = shards.dealt(rows.withColumn("shard", shards.of(F.col("key"), F.col("tie")))).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "tie", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, bases = tables.value

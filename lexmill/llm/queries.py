@@ -11,7 +11,7 @@ from .media import op9_tiff_media
 from .mixing import ORACLE as OP1_SQL, op1_source_mix
 from .repetition import ORACLE as OP5_SQL, op5_suffix_repetition
 from .secret_scan import op6_secret_scan
-from .warc import op2_warc_shards
+from .warc import ORACLE as OP2_SQL, op2_warc_shards
 
 
 def queries() -> dict:
@@ -30,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": OP1_SQL, "op5_suffix_repetition": OP5_SQL, "op7_tile_jaccard": OP7_SQL}
+    return {"op1_source_mix": OP1_SQL, "op2_warc_shards": OP2_SQL, "op5_suffix_repetition": OP5_SQL, "op7_tile_jaccard": OP7_SQL}

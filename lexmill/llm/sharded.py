@@ -3,7 +3,9 @@
 Rows are dealt to shards by a histogram: the range of a whole-number key is cut into equal
 cells, each cell's weight is summed, and cells are joined to shards of about the same
 weight. The same rows give the same shards whatever the cluster looks like. A cell that is
-heavier than a shard is cut again, by itself, as often as needed, down to single keys.
+heavier than a shard is cut again, by itself, as often as needed, down to single keys. A
+single key that is heavier, null among them, is cut by a hash of its rows, the ``tie``;
+rows of one key are in the order of their ties. Only rows equal in key and tie stay together.
 
 A task writes each file under a temporary name of its own and reports (temporary name,
 final name, size, digest). Spark keeps one report per shard in a manifest table; only what
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELLS = 4096
+TIES = 1 << 31
 #: The place of null keys, before all others; a key of this value is taken for null.
 NULL = -(1 << 63)
 MOST_TASKS = 100_000
@@ -34,28 +37,54 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Shards:
-    """Lower bounds of the shards, null keys before all; ``bases`` are the weights before each."""
+    """Lower bounds (key, tie) of the shards, null keys before all; ``bases`` are the weights before each."""
 
-    def __init__(self, bounds: list[int], bases: list[int]):
+    def __init__(self, bounds: list[tuple[int, int]], bases: list[int]):
         self.bounds, self.bases = bounds, bases
 
-    def of(self, key: Column) -> Column:
-        """The shard of a key, by binary search."""
-        return bisected(F.coalesce(key.cast("long"), F.lit(NULL)), self.bounds)
+    def of(self, key: Column, tie: Column) -> Column:
+        """The shard of a key and tie, by binary search."""
+        return bisected(F.coalesce(key.cast("long"), F.lit(NULL)), tie, self.bounds)
 
     def dealt(self, rows: DataFrame) -> DataFrame:
         """``rows`` with a column ``shard``, a shard to a task."""
         return rows.repartitionById(max(1, len(self.bounds)), F.col("shard"))
 
 
-def bisected(key: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds after the first are at most ``key``."""
+def tie_of(*columns: str) -> Column:
+    """A number below ``TIES`` by which the rows of one key are ordered and cut."""
+    return F.pmod(F.xxhash64(*columns), F.lit(TIES))
+
+
+def bisected(key: Column, tie: Column, bounds: list[tuple[int, int]]) -> Column:
+    """How many of the sorted bounds after the first are at most (``key``, ``tie``)."""
 
     @F.arrow_udf("int")
-    def find(keys: pa.Array) -> pa.Array:
-        return pa.array((np.searchsorted(np.array(bounds, dtype=np.int64), keys.to_numpy(zero_copy_only=False), side="right") - 1).clip(0).astype("int32"))
+    def find(keys: pa.Array, ties: pa.Array) -> pa.Array:
+        low, cuts = np.array(bounds, dtype=np.int64).reshape(-1, 2).T
+        k, t = (x.to_numpy(zero_copy_only=False) for x in (keys, ties))
+        first, last = np.searchsorted(low, k, side="left"), np.searchsorted(low, k, side="right")
+        at = last - 1
+        for one in np.unique(k[first < last]):  # keys that are bounds themselves
+            rows = k == one
+            a, b = first[rows][0], last[rows][0]
+            at[rows] = a - 1 + np.searchsorted(cuts[a:b], t[rows], side="right")
+        return pa.array(at.clip(0).astype("int32"))
+
+    return find(key, tie)
 
-    return find(key)
+
+def part_of(key: Column, tie: Column, heavy: list[tuple[int, int]]) -> Column:
+    """Of sorted (key, width of a part) the number of the one with this key times ``TIES``, plus the part of ``tie``; -1 where none has it."""
+
+    @F.arrow_udf("long")
+    def find(keys: pa.Array, ties: pa.Array) -> pa.Array:
+        own, width = np.array(heavy, dtype=np.int64).T
+        k, t = (x.to_numpy(zero_copy_only=False) for x in (keys, ties))
+        at = np.searchsorted(own, k).clip(0, own.size - 1)
+        return pa.array(np.where(own[at] == k, at * TIES + t // width[at], -1))
+
+    return find(key, tie)
 
 
 def cell_of(key: Column, ranges: list[tuple[int, int, int]]) -> Column:
@@ -73,15 +102,24 @@ def cell_of(key: Column, ranges: list[tuple[int, int, int]]) -> Column:
     return find(key)
 
 
-def shards_by_weight(rows: DataFrame, key: str, weight: str, per_shard: int) -> Shards:
-    """Shards of about ``per_shard`` of weight in the order of a whole-number key. No rows, one shard.
+def shards_by_weight(rows: DataFrame, key: str, weight: str, per_shard: int, tie: Column) -> Shards:
+    """Shards of about ``per_shard`` of weight in the order of a whole-number key and ``tie_of`` its rows. No rows, one shard.
 
-    All cells that are too heavy are cut again in one job; those jobs are at most 64 / 4.
+    All cells that are too heavy are cut again in one job; those jobs are at most 64 / 4, and one for single keys.
     """
-    rows = rows.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL)).alias("k"), F.col(weight).alias("w"))
+    rows = rows.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL)).alias("k"), F.col(weight).alias("w"), tie.alias("tie"))
     real = F.when(F.col("k") > NULL, F.col("k"))
     low, high, nulls = rows.agg(F.min(real), F.max(real), F.sum(F.when(F.col("k") == NULL, F.col("w")))).first()
-    cells: list[tuple[int, int]] = [(NULL, nulls or 0)]  # lower bound and weight
+    cells: list[tuple[int, int, int]] = []  # lower bound, its tie, and weight
+    single: list[tuple[int, int]] = []  # key and width of its parts
+
+    def alone(k: int, w: int) -> None:
+        if w > 2 * per_shard:
+            single.append((k, -(-TIES // min(TIES, 4 * -(-w // per_shard)))))
+        else:
+            cells.append((k, 0, w))
+
+    alone(NULL, nulls or 0)
     todo = [] if low is None else [(low, high, max(1, -(-(high - low + 1) // CELLS)))]
     while todo:
         heavier = []
@@ -92,14 +130,21 @@ def shards_by_weight(rows: DataFrame, key: str, weight: str, per_shard: int) ->
             if r["w"] > 2 * per_shard and width > 1:
                 parts = min(CELLS, 16 * -(-r["w"] // per_shard))  # so cells come to the driver in proportion to shards
                 heavier.append((a, min(high, a + width - 1), -(-width // parts)))
+            elif width == 1:
+                alone(a, r["w"])
             else:
-                cells.append((a, r["w"]))
+                cells.append((a, 0, r["w"]))
         todo = heavier
+    if single:
+        single.sort()
+        for r in rows.groupBy(part_of(F.col("k"), F.col("tie"), single).alias("part")).agg(F.sum("w").alias("w")).where("part >= 0").collect():
+            k, width = single[r["part"] // TIES]
+            cells.append((k, r["part"] % TIES * width, r["w"]))
     cells.sort()
     bounds, bases, held, total = [], [], 0, 0
-    for low, w in cells:
+    for low, at, w in cells:
         if not bounds or (held and held + w > per_shard):
-            bounds.append(low)
+            bounds.append((low, at))
             bases.append(total)
             held = 0
         held += w

@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, shared_path, small_batches, table
-from .sharded import TaskFile, commit, files_of, shards_by_weight, store
+from .sharded import TaskFile, commit, files_of, shards_by_weight, store, tie_of
 
 SHARD_BYTES, FILE_BYTES = 64 << 20, 16 << 20
+#: The copies of one payload are dealt to so many tasks where they meet its mark.
+SALTS = 16
 #: A fixed date, so that equal input gives equal archives.
 DATE = "2024-01-01T00:00:00Z"
 VERSION = "WARC/1.1"
@@ -75,7 +77,7 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
 
     The payload is the html in UTF-8, empty for null. Payloads under ``least_bytes`` are all
     responses. Null ids come first in the files, have no id header and are a response only where no other id has the payload; rows with equal ids are sorted by
-    url, then digest; of wholly equal rows the first is the response. No rows, no files.
+    a hash of url and digest, then these; of wholly equal rows the first is the response. No rows, no files.
     """
     spark = pages.sparkSession
     small_batches(spark, rows=1000)
@@ -85,13 +87,16 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
     order = F.struct(F.col("page_id").isNull(), "page_id", F.col("url").isNull(), "url")
     groups = slim.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.min(order).alias("least"), F.count("*").alias("n")).where("n > 1")
     firsts = groups.select("sha", F.col("least.page_id").alias("first_id"), F.col("least.url").alias("first_url"))
-    marks = slim.where(F.col("size") >= least_bytes).select("page_id", "url", "sha").join(firsts, "sha")
-    shards = shards_by_weight(slim.withColumn("weight", F.col("size") + 512), "page_id", "weight", shard_bytes)
+    salted = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    copies = slim.where(F.col("size") >= least_bytes).select("page_id", "url", "sha", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("salt"))
+    marks = copies.join(salted, ["sha", "salt"])
+    shards = shards_by_weight(slim.withColumn("weight", F.col("size") + 512), "page_id", "weight", shard_bytes, tie_of("url", "sha"))
     none = F.lit(None)
     rows = source.select("page_id", "url", "sha", F.lit(1).alias("role"), "html", none.cast("long").alias("first_id"), none.cast("string").alias("first_url"))
     rows = rows.unionByName(marks.select("page_id", "url", "sha", F.lit(0).alias("role"), none.cast("string").alias("html"), F.col("first_id").cast("long"), "first_url"))
-    rows = rows.withColumn("shard", shards.of(F.col("page_id")))
-    rows = shards.dealt(rows).sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), "sha", "role")
+    rows = rows.withColumn("tie", tie_of("url", "sha"))
+    rows = rows.withColumn("shard", shards.of(F.col("page_id"), F.col("tie")))
+    rows = shards.dealt(rows).sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "tie", F.col("url").asc_nulls_first(), "sha", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, shard, number, done = None, None, 0, []
@@ -200,3 +205,18 @@ def op2_warc_shards(spark, sf_dir: str, pages: DataFrame | None = None) -> DataF
     folder = shared_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages") if pages is None else pages, folder)
     return read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base32 takes five bits at a time: five hexadecimal digits are four letters.
+ORACLE = """
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+ranked AS (
+  SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS first_id FROM payloads
+  WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST, url NULLS LAST))
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS INT), 1) for i in range(32)], '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN first_id END AS refers_to
+FROM ranked"""

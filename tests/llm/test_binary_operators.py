@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.llm import bpe, huffman_tokens, media, warc
 from lexmill.llm.common import shared_path, tokenizer_file
@@ -72,6 +73,33 @@ def test_token_files(spark):
     assert huffman_tokens.op3_huffman_tokens(spark, "", docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 5])
+def test_a_hot_key_fills_several_shards(spark, hot):
+    rows = [(hot, f"text {'abcdefghij'[i % 10] * (i // 10 + 1)} of many") for i in range(200)] + [(i, "plain") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = shared_path(spark, "test-tokens")
+    manifest = huffman_tokens.write_tokens(docs, folder, tokenizer_file("word_bpe_49k.json"), shard_tokens=200).collect()
+    most = max(r["tokens"] for r in manifest)
+    assert len(manifest) > 5 and most < 800
+    got = huffman_tokens.read_tokens(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    starts = np.cumsum([0, *(r["n_tokens"] for r in got)])
+    assert [r["start"] for r in got] == starts[:-1].tolist()
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    sums = [zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes()) for _, t in rows]
+    assert sorted(r["ids_crc32"] for r in got) == sorted(sums)
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    folder = shared_path(spark, "test-warc")
+    manifest = warc.write_warc(pages, folder, shard_bytes=4000).collect()
+    assert len(manifest) > 5 and max(r["records"] for r in manifest) < 60
+    back = warc.read_warc(spark, folder)
+    first = min(i for i, t in rows if t == "plain")
+    assert sorted((r["page_id"] for r in back.collect()), key=repr) == sorted((i for i, _ in rows), key=repr)
+    assert back.where(f"record_type = 'revisit' and refers_to = {first}").count() == 7 and back.where("record_type = 'revisit'").count() == 7
+
+
 def test_warc_round_trip(spark):
     rows = [(4, "u", "same"), (2, "v", "same"), (2, "v", "same"), (9, None, None), (8, "w", ""), (None, "x", "only"), (11, "line\r\nbreak", "ü" * 5000), (12, "y", "z\r\n\r\nWARC/1.1")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
