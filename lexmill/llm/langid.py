@@ -130,15 +130,13 @@ def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
             yield pa.RecordBatch.from_arrays([pa.array([lang] * at.size, pa.string()), pa.array(at, pa.int32()), pa.array(row[at], pa.int64())], ["lang", "bucket", "n"])
 
     rows = source.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    rows = rows.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).limit(MOST_LANGUAGES + 1).collect()
+    rows = rows.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).limit(MOST_LANGUAGES + 1).toArrow().sort_by("lang")  # two numbers a bucket, as flat arrays
     if len(rows) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    rows.sort(key=lambda r: r["lang"])
     counts = np.zeros((len(rows), BUCKETS))
-    for k, r in enumerate(rows):
-        for x in r["counts"]:
-            counts[k, x["bucket"]] = x["n"]
-    return Model([r["lang"] for r in rows], counts)
+    for k, cells in enumerate(x.values for x in rows["counts"]):
+        counts[k, cells.field("bucket").to_numpy()] = cells.field("n").to_numpy()
+    return Model(rows["lang"].to_pylist(), counts)
 
 
 def predict_language(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
