@@ -8,8 +8,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space of Unicode, in Java's notation.
-SPACES = r"(?U)\s+"
+#: White space of Unicode and the separators U+001C to U+001F, in Java's notation.
+SPACES = r"(?U)[\s\x1C-\x1F]+"
 #: Tokens that a name loses, legal forms and honorifics.
 LEGAL_FORMS = ("sa", "sl", "sau", "slu", "ltd", "inc", "gmbh", "plc", "llc", "sas", "bv", "srl", "co")
 HONORIFICS = ("sr", "sra", "srta", "dr", "dra", "don", "dona", "d", "da", "mr", "mrs", "ms")
@@ -42,7 +42,8 @@ def let(value: Column, body) -> Column:
 
 
 def strip_accents(col: Column) -> Column:
-    return F.translate(col, *accent_table())
+    """Without accents; a text of one byte a character has none and is left as it is."""
+    return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(F.translate(col, *accent_table()))
 
 
 def normalize(col: Column) -> Column:
@@ -52,7 +53,7 @@ def normalize(col: Column) -> Column:
 
 def words(col: Column) -> Column:
     """The words between runs of white space; none for a blank text."""
-    return F.filter(F.split(col, SPACES), lambda w: w != "")
+    return F.array_remove(F.split(col, SPACES), "")
 
 
 def word_count(col: Column) -> Column:
@@ -80,18 +81,26 @@ def fingerprint(col: Column) -> Column:
     return F.array_join(words(F.lower(F.coalesce(col, F.lit("")))), " ")
 
 
-def shingles(tokens: Column, n: int = 3) -> Column:
-    """Runs of ``n`` words joined by blanks; fewer words give one shingle, none give none."""
-
+def runs(tokens: Column, n: int, of, whole, kind: str) -> Column:
+    """``of`` the words of every run of ``n``, as one array of ``kind``; fewer words give ``whole`` of them alone, none give none."""
 
     def cut(w: Column) -> Column:
-        many = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
-        few = F.array(F.array_join(w, " "))
-        return F.when(F.size(w) >= n, many).when(F.size(w) > 0, few).otherwise(F.array().cast("array<string>"))
+        many = F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: of(*(w[i + k] for k in range(n))))
+        return F.when(F.size(w) >= n, many).when(F.size(w) > 0, F.array(whole(w))).otherwise(F.array().cast(f"array<{kind}>"))
 
     return let(tokens, cut)
 
 
+def shingles(tokens: Column, n: int = 3) -> Column:
+    """Runs of ``n`` words joined by blanks; fewer words give one shingle, none give none."""
+    return runs(tokens, n, lambda *w: F.concat_ws(" ", *w), lambda w: F.array_join(w, " "), "string")
+
+
+def shingle_hashes(tokens: Column, n: int = 3) -> Column:
+    """64-bit hashes of the same shingles, made from the words without the joined texts."""
+    return runs(tokens, n, F.xxhash64, F.xxhash64, "bigint")
+
+
 def numbered(items: Column) -> Column:
     """``1. a``, ``2. b`` and so on, one a line."""
     return F.array_join(F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n")

@@ -11,13 +11,21 @@ def merge_articles(articles: DataFrame, key: str) -> DataFrame:
 
     The result is the same whatever the order of arrival, so late articles do no harm.
     """
-    ordered = lambda c: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord", c))), lambda x: x[c])).alias(f"{c}s")
-    return articles.groupBy(key).agg(F.min("ord").alias("ord"), ordered("source"), ordered("url"), F.min("date").alias("date"))
+    part = lambda c: F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value"))
+    parts = articles.select(key, "ord", "date", F.explode(F.array(part("source"), part("url"))).alias("part"))
+    # Repeated values fold map-side, so a text that many rows share sends its distinct ones only.
+    first = parts.groupBy(key, "part.kind", "part.value").agg(F.min("ord").alias("ord"), F.min("date").alias("date"))
+    ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == c, F.struct("ord", "value")))), lambda x: x["value"]).alias(f"{c}s")
+    return first.groupBy(key).agg(F.min("ord").alias("ord"), ordered("source"), ordered("url"), F.min("date").alias("date"))
+
+
+def merge_turns(rows: DataFrame, key: str) -> DataFrame:
+    """Merged articles of several turns as one row a key: what an earlier ``turn`` has comes first."""
+    joined = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", c))), lambda x: x[c]))).alias(c)
+    return rows.groupBy(key).agg(F.min("ord").alias("ord"), joined("sources"), joined("urls"), F.min("date").alias("date"))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Merged articles of an index and of a batch: what both have is merged, the index's first."""
-    old = old.select(key, "ord", "sources", "urls", "date", F.lit(0).alias("turn"))
-    new = new.select(key, "ord", "sources", "urls", "date", F.lit(1).alias("turn"))
-    joined = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", c))), lambda x: x[c]))).alias(c)
-    return old.unionByName(new).groupBy(key).agg(F.min("ord").alias("ord"), joined("sources"), joined("urls"), F.min("date").alias("date"))
+    at = lambda df, turn: df.select(key, "ord", "sources", "urls", "date", F.lit(turn).alias("turn"))
+    return merge_turns(at(old, 0).unionByName(at(new, 1)), key)

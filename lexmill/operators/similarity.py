@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import normalize, shingles, words
+from ..functions.text import normalize, shingle_hashes, shingles, words
 from ..functions.vector import agreement
 from ..shared import written
 from .graph import connected_components
@@ -28,13 +28,14 @@ def shingle_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).alias("id"), F.array_distinct(shingles(words(normalize(text)), n)).alias("shingles"))
 
 
-def hashed(sets: DataFrame) -> DataFrame:
-    """The sets with 64-bit hashes for shingles, in order: a fraction of the bytes wherever they travel."""
-    return sets.select("id", F.array_sort(F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s)))).alias("shingles"))
+def hashed_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE) -> DataFrame:
+    """The same sets as 64-bit hashes in order: a fraction of the bytes wherever they travel."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), F.sort_array(F.array_distinct(shingle_hashes(words(normalize(text)), n))).alias("shingles"))
 
 
 def classes(sets: DataFrame) -> DataFrame:
-    """id and rep, the least id with the same non-empty set, for sets of ``hashed``."""
+    """id and rep, the least id with the same non-empty set, for sets of ``hashed_sets``."""
     keyed = sets.where(F.size("shingles") > 0).select("id", F.struct(F.size("shingles"), F.xxhash64("shingles"), F.xxhash64(F.lit(1), "shingles")).alias("key"))
     reps = keyed.groupBy("key").agg(F.min("id").alias("rep"))
     return keyed.join(reps, "key").select("id", "rep")
@@ -46,7 +47,7 @@ def prefixes(sets: DataFrame, cut: float) -> DataFrame:
     Under one order of all shingles, rare ones first, two such sets share one of their first
     |S| - ceil(cut |S|) + 1. Shingles of a single set come first and only shorten what is left.
     """
-    items = written(sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "shingles")
+    items = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
     often = items.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
     shared = items.join(often, "s")
     place = Window.partitionBy("id").orderBy("df", "s")
@@ -100,34 +101,43 @@ def jaccard_components(sets: DataFrame, cut: float = CUT) -> DataFrame:
 
 def near_duplicate_clusters(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT, n: int = SHINGLE) -> DataFrame:
     """``id_col`` and ``cluster_id`` for every document: components of the links between set classes."""
-    sets = written(hashed(shingle_sets(docs, id_col=id_col, text_col=text_col, n=n)), "sets")
+    sets = written(hashed_sets(docs, id_col=id_col, text_col=text_col, n=n), "sets")
     member = written(classes(sets), "classes")
-    reps = sets.join(member.where("id = rep").select("id"), "id", "left_semi")
+    reps = written(sets.join(member.where("id = rep").select("id"), "id", "left_semi"), "representatives")
     found = member.join(jaccard_components(reps, cut).withColumnRenamed("id", "rep"), "rep").select("id", "cluster_id")
     return sets.select("id").join(found, "id", "left").select(F.col("id").alias(id_col), F.coalesce("cluster_id", "id").alias("cluster_id"))
 
 
 def permutation(i):
-    """The multiplier and the offset of hash i; both below 2^31."""
+    """The multiplier and the offset of hash i; both below 2^31, so that 32 bits times one and plus the other stay below 2^64."""
     return 1 + (i * 2654435761 + 12345) % (PRIME - 1), (i * 2634445 + 7919) % PRIME
 
 
-def shingle_hash(s: Column) -> Column:
-    """28 bits of a digest."""
-    return F.conv(F.substring(F.md5(s.cast("binary")), 1, 7), 16, 10).cast("long")
-
-
 def signatures(sets: DataFrame, permutations: int = PERMUTATIONS) -> DataFrame:
-    """id and ``signature``: per permutation the least hash of the set; an empty set has an empty signature."""
+    """id and ``signature``: per permutation the least hash of the set; an empty set has an empty signature.
+
+    A shingle is known by the first 32 bits of its digest. A set travels as one text of eight
+    digits a shingle, so a worker reads it without a Python object for each.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = (np.array(x, dtype=np.int64)[:, None] for x in zip(*map(permutation, range(permutations))))
+        a, b = (np.array(x, dtype=np.uint64) for x in zip(*map(permutation, range(permutations))))
+        prime = np.uint64(PRIME)
         for batch in batches:
-            rows = [((a * np.array(h, dtype=np.int64) + b) % PRIME).min(axis=1).tolist() if h else [] for h in batch.column("hashes").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.list_(pa.int64()))], ["id", "signature"])
-
-    hashed = sets.select("id", F.transform("shingles", shingle_hash).alias("hashes"))
-    return hashed.mapInArrow(sketch, f"id {sets.schema['id'].dataType.simpleString()}, signature array<long>")
+            rows, sizes = [], [0]
+            for digits in batch.column("digits"):
+                h = np.frombuffer(bytes.fromhex(digits.as_py()), dtype=">u4").astype(np.uint64)
+                least = np.full(permutations if len(h) else 0, PRIME, dtype=np.uint64)
+                for at in range(0, len(h), 4096):
+                    part = h[at : at + 4096]
+                    np.minimum(least, ((a[:, None] * part + b[:, None]) % prime).min(axis=1), out=least)
+                rows.append(least)
+                sizes.append(sizes[-1] + len(least))
+            flat = np.concatenate(rows).astype(np.int64) if rows else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))], ["id", "signature"])
+
+    digits = F.array_join(F.transform("shingles", lambda s: F.substring(F.md5(s.cast("binary")), 1, 8)), "")
+    return sets.select("id", digits.alias("digits")).mapInArrow(sketch, f"id {sets.schema['id'].dataType.simpleString()}, signature array<long>")
 
 
 def banded_pairs(signed: DataFrame, *, bands: int = 32, cut: float = CUT) -> DataFrame:
@@ -157,7 +167,7 @@ def first_recent(new: DataFrame, window: DataFrame, *, bands: int = 32, cut: flo
 
 def containment(docs: DataFrame, passages: DataFrame, *, id_col: str, item_col: str, text_col: str = "text", n: int = SHINGLE, cut: float = 0.8) -> DataFrame:
     """Documents that hold at least ``cut`` of a passage's shingles."""
-    items = hashed(shingle_sets(passages, id_col=item_col, text_col=text_col, n=n)).select(F.col("id").alias(item_col), F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
-    held = hashed(shingle_sets(docs, id_col=id_col, text_col=text_col, n=n)).select(F.col("id").alias(id_col), F.explode("shingles").alias("s"))
+    items = hashed_sets(passages, id_col=item_col, text_col=text_col, n=n).select(F.col("id").alias(item_col), F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
+    held = hashed_sets(docs, id_col=id_col, text_col=text_col, n=n).select(F.col("id").alias(id_col), F.explode("shingles").alias("s"))
     both = held.join(items, "s").groupBy(id_col, item_col, "size").agg(F.count("*").alias("n_common"))
     return both.where(F.col("n_common") >= cut * F.col("size")).select(id_col, item_col, "n_common", (F.col("n_common") / F.col("size")).alias("containment"))

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from ..functions import text as tx
 from ..operators import knn, merge, places, resolve, scoring, similarity
 from ..operators.graph import connected_components
+from ..shared import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,6 +34,12 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def texts(spark: SparkSession, d: str) -> DataFrame:
+    """``documents``, dealt out where they come in fewer splits than there are cores; more splits stay as they are."""
+    docs, cores = t(spark, d, "documents").select("doc_id", "text"), spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 # SQL fragments
 
 
@@ -62,12 +69,12 @@ def sql_reach(edges: str, nodes: str) -> str:
 
 @query("neardup_classes", f"WITH {SETS} SELECT doc_id, rep FROM classes")
 def neardup_classes(spark, d):
-    return similarity.classes(similarity.hashed(similarity.shingle_sets(t(spark, d, "documents")))).withColumnRenamed("id", "doc_id")
+    return similarity.classes(similarity.hashed_sets(texts(spark, d))).withColumnRenamed("id", "doc_id")
 
 
 @query("neardup_pairs_exact", f"WITH {SETS} SELECT a, b, common::BIGINT AS common, round(jaccard, 9) AS jaccard FROM pairs")
 def neardup_pairs_exact(spark, d):
-    sets = similarity.hashed(similarity.shingle_sets(t(spark, d, "documents")))
+    sets = similarity.hashed_sets(texts(spark, d))
     reps = sets.join(similarity.classes(sets).where("id = rep").select("id"), "id", "left_semi")
     return similarity.jaccard_pairs(reps).withColumn("jaccard", F.round("jaccard", 9))
 
@@ -77,19 +84,19 @@ def neardup_pairs_exact(spark, d):
     f"WITH RECURSIVE {SETS}, {sql_reach('SELECT a, b FROM pairs UNION SELECT b, a FROM pairs UNION SELECT doc_id, rep FROM classes UNION SELECT rep, doc_id FROM classes', 'SELECT doc_id AS id FROM docs')} SELECT x AS doc_id, min(y) AS cluster_id FROM reach GROUP BY x",
 )
 def neardup_clusters(spark, d):
-    return similarity.near_duplicate_clusters(t(spark, d, "documents"))
+    return similarity.near_duplicate_clusters(texts(spark, d))
 
 
 SIGNED = f"""{SETS},
-hashed AS (SELECT doc_id, ('0x' || substr(md5(unnest(s)), 1, 7))::BIGINT AS h FROM sets),
-mins AS (SELECT doc_id, i, min(((1 + (i * 2654435761 + 12345) % 2147483646) * h + (i * 2634445 + 7919) % 2147483647) % 2147483647) AS m
+hashed AS (SELECT doc_id, ('0x' || substr(md5(unnest(s)), 1, 8))::HUGEINT AS h FROM sets),
+mins AS (SELECT doc_id, i, min(((1 + (i * 2654435761 + 12345) % 2147483646) * h + (i * 2634445 + 7919) % 2147483647) % 2147483647)::BIGINT AS m
   FROM hashed CROSS JOIN (SELECT unnest(range(128)) AS i) GROUP BY doc_id, i),
 signed AS (SELECT doc_id, list(m ORDER BY i) AS sig FROM mins GROUP BY doc_id)"""
 
 
 @query("minhash_signatures", f"WITH {SIGNED} SELECT d.doc_id, coalesce(len(sig), 0)::INT AS n, md5(coalesce(array_to_string(sig, ','), '')) AS digest FROM documents d LEFT JOIN signed USING (doc_id)")
 def minhash_signatures(spark, d):
-    signed = similarity.signatures(similarity.shingle_sets(t(spark, d, "documents")))
+    signed = similarity.signatures(similarity.shingle_sets(texts(spark, d)))
     return signed.select(F.col("id").alias("doc_id"), F.size("signature").alias("n"), F.md5(F.array_join(F.col("signature").cast("array<string>"), ",").cast("binary")).alias("digest"))
 
 
@@ -102,9 +109,9 @@ scored AS (SELECT a, b, len(list_filter(list_zip(x.sig, y.sig), lambda p: p[1] =
 SELECT a, b, agreement::DOUBLE AS agreement FROM scored WHERE agreement >= 0.9""",
 )
 def minhash_pairs(spark, d):
-    sets = similarity.shingle_sets(t(spark, d, "documents"))
-    reps = sets.join(similarity.classes(similarity.hashed(sets)).where("id = rep").select("id"), "id", "left_semi")
-    return similarity.banded_pairs(similarity.signatures(reps))
+    docs = texts(spark, d)
+    reps = similarity.classes(similarity.hashed_sets(docs)).where("id = rep").select(F.col("id").alias("doc_id"))
+    return similarity.banded_pairs(written(similarity.signatures(similarity.shingle_sets(docs.join(reps, "doc_id", "left_semi"))), "signatures"))
 
 
 def _item_sets(table: str, key: str) -> str:
@@ -117,7 +124,7 @@ def _item_sets(table: str, key: str) -> str:
 SELECT doc_id, item_id, count(*)::BIGINT AS n_common, round(count(*)::DOUBLE / size, 9) AS containment FROM q JOIN p USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, size HAVING count(*) >= 0.8 * size""",
 )
 def benchmark_overlap(spark, d):
-    return similarity.containment(t(spark, d, "documents"), t(spark, d, "benchmark"), id_col="doc_id", item_col="item_id").withColumn("containment", F.round("containment", 9))
+    return similarity.containment(texts(spark, d), t(spark, d, "benchmark"), id_col="doc_id", item_col="item_id").withColumn("containment", F.round("containment", 9))
 
 
 # Text
@@ -639,7 +646,7 @@ def news_status_counts(spark, d):
     from .news import statuses
 
     gate = _labels(spark, d, 2, "gate").withColumn("kind", F.when(F.col("pos") == 0, "white").otherwise("black"))
-    return statuses(t(spark, d, "documents"), gate).groupBy("status").agg(F.count("*").alias("n"))
+    return statuses(texts(spark, d), gate).groupBy("status").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -5,35 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import merge_articles, upsert
+from ..operators.merge import merge_articles, merge_turns
 from ..shared import shared_folder
 
 
 def ingest(stream: DataFrame, folder: str, key: str = "text_key") -> None:
     """Merge a stream of articles (key, ord, source, url, date) into the index below ``folder``.
 
-    Each micro-batch is merged within itself, then with the index as it was, and written as
-    the next version; a batch that is run again writes its own version again. Copies within
-    a batch and copies of older articles so end the same, in any order of arrival.
+    Each micro-batch is merged within itself and written as a version of its own; a batch that
+    is run again overwrites its version. So a batch costs what it holds, however large the
+    index is, and ``latest`` merges the versions.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = merge_articles(batch, key)
-        if number:
-            new = upsert(spark.read.parquet(f"{folder}/version={number - 1}"), new, key)
-        new.write.mode("overwrite").parquet(f"{folder}/version={number}")
+        merge_articles(batch, key).write.mode("overwrite").parquet(f"{folder}/version={number}")
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/_checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def latest(spark: SparkSession, folder: str) -> DataFrame:
-    """The index's last version."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
-    versions = [int(s.getPath().getName().split("=")[1]) for s in found if s.getPath().getName().startswith("version=")]
-    return spark.read.parquet(f"{folder}/version={max(versions)}")
+def latest(spark: SparkSession, folder: str, key: str = "text_key") -> DataFrame:
+    """The index: all versions merged, an earlier one's sources and urls first; copies end the same in whatever batch they came."""
+    return merge_turns(spark.read.parquet(folder).withColumnRenamed("version", "turn"), key)
 
 
 def as_pattern(path: str) -> str:

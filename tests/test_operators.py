@@ -31,10 +31,12 @@ def test_exact_join_against_brute_force(spark):
     rnd = random.Random(5)
     docs = [(i, " ".join(rnd.choice("abcdef") for _ in range(rnd.randrange(3, 30)))) for i in range(60)]
     docs += [(100 + i, docs[i][1] + " z") for i in range(30)]
-    sets = similarity.shingle_sets(spark.createDataFrame(docs, "doc_id long, text string"))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = similarity.shingle_sets(table)
     known = {r["id"]: set(r["shingles"]) for r in sets.collect()}
     want = {(a, b) for a in known for b in known if a < b and known[a] and known[b] and len(known[a] & known[b]) / len(known[a] | known[b]) >= 0.6}
-    hashed = similarity.hashed(sets)
+    hashed = similarity.hashed_sets(table)
+    assert {r["id"]: len(r["shingles"]) for r in hashed.collect()} == {i: len(s) for i, s in known.items()}
     assert {(r["a"], r["b"]) for r in similarity.jaccard_pairs(hashed, 0.6).collect()} == want and want
     label = {k: k for k in known}
     for _ in known:
