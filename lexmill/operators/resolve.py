@@ -145,6 +145,12 @@ def best_values(attributes: DataFrame, *keys: str) -> DataFrame:
     return known.groupBy(*keys, "name").agg(F.max_by("value", F.struct("confidence", -F.col("ord"))).alias("value"), F.max("confidence").alias("confidence"))
 
 
+def with_attributes(found: DataFrame, attributes: DataFrame, *keys: str) -> DataFrame:
+    """Adds ``attributes``, a map from each name to its best value; an empty map where nothing is known. ``attributes``: keys, name, value, confidence, ord."""
+    best = best_values(attributes, *keys).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("attributes"))
+    return found.join(best, [*keys], "left").withColumn("attributes", F.coalesce("attributes", F.map_from_entries(F.array().cast("array<struct<name:string,value:string>>"))))
+
+
 def merge_clusters(members: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     """Members (doc_id, ord, name, type, subtype, evidence array) of each cluster as one entity.
 

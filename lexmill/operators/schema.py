@@ -72,8 +72,7 @@ def _alternatives(kinds, ends: dict) -> dict:
     branches = []
     for k in kinds:
         subtype = {"anyOf": [{"type": "string", "enum": [s.name for s in k.subtypes]}, {"type": "null"}]} if k.subtypes else {"type": "null"}
-        attributes = _closed({a.name: {"type": a.datatype} for a in k.attributes}) | {"required": []}
-        del attributes["required"]
+        attributes = {"type": "object", "additionalProperties": False, "properties": {a.name: {"type": a.datatype} for a in k.attributes}}
         branches.append(_closed(ends | {"type": {"const": k.name}, "subtype": subtype, "evidence_text": {"type": "string"}, "attributes": attributes, "confidence": {"type": "number"}}))
     return {"type": "array", "items": {"oneOf": branches}}
 
