@@ -88,8 +88,8 @@ def neardup_clusters(spark, d):
 
 
 SIGNED = f"""{SETS},
-hashed AS (SELECT doc_id, ('0x' || substr(md5(unnest(s)), 1, 8))::HUGEINT AS h FROM sets),
-mins AS (SELECT doc_id, i, min(((1 + (i * 2654435761 + 12345) % 2147483646) * h + (i * 2634445 + 7919) % 2147483647) % 2147483647)::BIGINT AS m
+hashed AS (SELECT doc_id, ('0x' || substr(md5(unnest(s)), 1, 8))::UBIGINT AS h FROM sets),
+mins AS (SELECT doc_id, i, min(((1 + (i * 2654435761 + 12345) % 2147483646)::UBIGINT * h + ((i * 2634445 + 7919) % 2147483647)::UBIGINT) % 2147483647::UBIGINT)::BIGINT AS m
   FROM hashed CROSS JOIN (SELECT unnest(range(128)) AS i) GROUP BY doc_id, i),
 signed AS (SELECT doc_id, list(m ORDER BY i) AS sig FROM mins GROUP BY doc_id)"""
 
