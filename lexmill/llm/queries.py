@@ -6,6 +6,7 @@ from .bpe import op10_bpe_round_trip
 from .huffman_tokens import op3_huffman_tokens
 from .jaccard_join import ORACLE as OP7_SQL, op7_tile_jaccard
 from .langid import op4_output_code_language
+from .lexical_search import ORACLE as OP11_SQL, op11_bucket_search
 from .line_templates import op8_line_templates
 from .media import op9_tiff_media
 from .mixing import ORACLE as OP1_SQL, op1_source_mix
@@ -26,8 +27,9 @@ def queries() -> dict:
         "op8_line_templates": op8_line_templates,
         "op9_tiff_media": op9_tiff_media,
         "op10_bpe_round_trip": op10_bpe_round_trip,
+        "op11_bucket_search": op11_bucket_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": OP1_SQL, "op2_warc_shards": OP2_SQL, "op5_suffix_repetition": OP5_SQL, "op7_tile_jaccard": OP7_SQL}
+    return {"op1_source_mix": OP1_SQL, "op2_warc_shards": OP2_SQL, "op5_suffix_repetition": OP5_SQL, "op7_tile_jaccard": OP7_SQL, "op11_bucket_search": OP11_SQL}
