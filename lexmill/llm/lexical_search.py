@@ -22,7 +22,7 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ WINDOW = 1 << 14
 BLOCK = 1 << 16
 #: Postings after which a segment ends, full or not.
 MOST_POSTINGS = 1 << 21
+#: Words that a task remembers, wanted or not.
+MOST_WORDS = 1 << 19
 BITS = 22
 #: Every ASCII character but digits and letters parts terms.
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -95,47 +97,56 @@ class Builder:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.forget()
+        self.terms: dict[bytes, int] = {}  # those wanted, by their number in this segment
         self.ids: list[int | None] = []
         self.sizes: list[int] = []
         self.docs: list[np.ndarray] = []
-        self.held = self.seen = 0
-        self.kept = np.zeros(0, dtype=bool)
+        self.held = 0
+
+    def forget(self) -> None:
+        """Words seen, wanted or not; ``term`` gives their number in the segment, or -1."""
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.term, self.seen = np.empty(0, dtype=np.int32), 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
         """Documents without a term are of no account."""
-        if not (terms := terms_of(text)):
+        if not (words := terms_of(text)):
             return
-        got = np.fromiter(map(self.numbers.__getitem__, terms), dtype=np.int32, count=len(terms))
-        if len(self.numbers) > self.seen:
-            fresh = [term_hash(t) for t in list(self.numbers)[self.seen :]]
-            self.kept = np.append(self.kept, self.bits[fresh])
+        if self.seen > MOST_WORDS:
+            self.forget()
+        got = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int32, count=len(words))
+        if (more := len(self.numbers) - self.seen) > 0:
+            fresh = [*islice(reversed(self.numbers), more)][::-1]
+            if len(self.numbers) > self.term.size:
+                self.term = np.append(self.term, np.empty(len(self.numbers) + self.term.size, dtype=np.int32))
+            good = self.bits[[term_hash(w) for w in fresh]].tolist()
+            self.term[self.seen : len(self.numbers)] = [self.terms.setdefault(w, len(self.terms)) if g else -1 for w, g in zip(fresh, good)]
             self.seen = len(self.numbers)
-        got = got[self.kept[got]]
+        got = self.term[got]
+        got = got[got >= 0]
         self.ids.append(doc_id)
-        self.sizes.append(len(terms))
+        self.sizes.append(len(words))
         self.docs.append(got)
         self.held += got.size
 
     @property
     def full(self) -> bool:
-        return len(self.ids) >= self.window or self.held >= MOST_POSTINGS or self.seen >= MOST_POSTINGS
+        return len(self.ids) >= self.window or self.held >= MOST_POSTINGS
 
     def segment(self) -> dict | None:
         """Ids in order (null last), numbers of terms, and by term (in order) where its postings end, their places and frequencies."""
         if not self.ids:
             return None
         order = sorted(range(len(self.ids)), key=lambda i: (self.ids[i] is None, self.ids[i]))
-        names = list(self.numbers)
-        kept = np.flatnonzero(self.kept)
-        kept = kept[sorted(range(kept.size), key=lambda i: names[kept[i]])]
-        rank = np.zeros(len(names), dtype=np.int64)
-        rank[kept] = np.arange(kept.size)
+        names = sorted(self.terms)
+        rank = np.empty(len(names), dtype=np.int64)
+        rank[[self.terms[w] for w in names]] = np.arange(len(names))
         place = np.repeat(np.arange(len(order)), [self.docs[i].size for i in order])
         flat = np.concatenate([self.docs[i] for i in order])
         both, tf = np.unique(rank[flat] * len(order) + place, return_counts=True)
-        ends = np.cumsum(np.bincount(both // len(order), minlength=kept.size))
-        out = {"ids": [self.ids[i] for i in order], "sizes": [self.sizes[i] for i in order], "terms": [names[i].decode() for i in kept], "ends": ends.tolist()}
+        ends = np.cumsum(np.bincount(both // len(order), minlength=len(names)))
+        out = {"ids": [self.ids[i] for i in order], "sizes": [self.sizes[i] for i in order], "terms": [w.decode() for w in names], "ends": ends.tolist()}
         out |= {"places": (both % len(order)).astype("<u2").tobytes(), "tfs": tf.astype("<u4").tobytes()}
         self.clear()
         return out
