@@ -8,7 +8,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ke
 MORE = ("k", 1, 2, "p", [1], 3, 4, True, 5)
 LONG = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}" for i in range(40_000))
 TEXTS = [None, "", " \n\t ", "one", "The quick brown fox jumps over the lazy dog.\npassword = hunter2hunter", "Der schnelle braune Fuchs springt über den faulen Hund", "Der schnelle braune Fuchs springt über den faulen Hund", LONG]
-NAMES = [n for n in queries.queries() if n != "op2_warc_shards"]
+NAMES = [n for n in queries.queries() if n not in ("op2_warc_shards", "op11_bucket_search", "op12_conversation_trie")]
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -13,7 +13,7 @@ DATA = os.environ.get("LEXMILL_TESTDATA", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
     df = queries.queries()[name](spark, DATA)
     columns = sorted(df.columns)
