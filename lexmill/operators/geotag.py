@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .fuzzy import LEAST
 from .places import homonyms, looked_up, matched_city, most_populous, nearest_city, output_order, span_types, streets_in_cities, uncovered
 
 #: The types that a score table's positions stand for.
@@ -71,11 +72,11 @@ def geotag(spans: DataFrame, index: DataFrame, cities: DataFrame, edges: DataFra
     regions = most_populous(of("region"), "A").withColumnRenamed("entry_id", "geonames_id").drop("population")
     cand = homonyms(of("city").where("feature_class = 'P'"))
     city = chosen_city(cand, city_scores)
-    match = matched_city(city.select("name"), cities)
+    match = matched_city(city.select("name"), cities, contained=True)
     city = city.join(match, "name", "left").withColumn("city_name", F.coalesce("city_name", "name"))
     detected = city.where("lat is not null").select("doc_id", "ord", "city_id", "city_name", "lat", "lon")
     asked = text.join(types.where("type = 'street'").select("doc_id", "ord"), ["doc_id", "ord"])
-    streets = streets_in_cities(asked, detected, edges)
+    streets = streets_in_cities(asked, detected, edges, least=LEAST)
     points = most_populous(of("location"), "P")
     near = nearest_city(points.select("doc_id", "ord", "lat", "lon"), detected)
     location = points.drop("admin1_code", "population").withColumnRenamed("entry_id", "geonames_id").join(near.drop("km"), ["doc_id", "ord"], "left")

@@ -80,12 +80,14 @@ def decide_items(queries: DataFrame, rows: DataFrame, *, match: float = MATCH, l
     return pairs.select("query_id", verdict.alias("decision"), F.when(verdict == "match", F.col("top.id")).alias("target_id"), F.coalesce("top.score", F.lit(0.0)).alias("score"))
 
 
-def cluster_corpus(rows: DataFrame, *, merge: float = MERGE, low: float = CORPUS_LOW, k: int = TOP_K, type_col: str | None = None, verdicts: DataFrame | None = None, id_col: str = "id", vector_col: str = "vector") -> DataFrame:
+def cluster_corpus(rows: DataFrame, *, merge: float = MERGE, low: float = CORPUS_LOW, k: int = TOP_K, type_col: str | None = None, verdicts: DataFrame | None = None, found: DataFrame | None = None, id_col: str = "id", vector_col: str = "vector") -> DataFrame:
     """``id_col`` and ``cluster_id``: components of the links from each row to those of its ``k`` nearest, itself counted, that reach ``merge``.
 
     Pairs between ``low`` and ``merge`` link where ``verdicts`` (id_a, id_b, verdict) says yes.
+    ``found`` are the neighbours of an index (``vector_index.search``), else all rows are compared.
     """
-    found = nearest(rows, rows, k=k, id_col=id_col, vector_col=vector_col, type_col=type_col).where("id <> query_id")
+    found = nearest(rows, rows, k=k, id_col=id_col, vector_col=vector_col, type_col=type_col) if found is None else found
+    found = found.where("id <> query_id")
     links = found.where(F.col("score") >= merge).select(F.col("query_id").alias("a"), F.col("id").alias("b"))
     if verdicts is not None:
         asked = found.where((F.col("score") >= low) & (F.col("score") < merge)).join(verdicts.where("verdict = 'yes'"), (F.col("query_id") == F.col("id_a")) & (F.col("id") == F.col("id_b")))

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.geo import haversine
-from ..functions.text import STREET_PREFIXES, is_street, let, normalize, without_street_prefix
+from ..functions.text import STREET_PREFIXES, is_street, normalize, without_street_prefix
+from .fuzzy import LEAST, containing, similar
 
 CANDIDATES = 10
+#: Fixed value: what a street looks like in running text.
 STREET = rf"(?:^|(?<=\s)){STREET_PREFIXES}\s+[A-ZÁÉÍÓÚÜÑ][^\n,;.]{{2,50}}"
 
 
@@ -75,43 +77,50 @@ def homonyms(found: DataFrame, by: tuple[str, ...] = ("doc_id", "ord"), k: int =
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def trigrams(col: Column) -> Column:
-    padded = F.concat(F.lit("  "), normalize(col), F.lit(" "))
-    return let(padded, lambda p: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substring(p, i, F.lit(3)))))
-
-
-def matched_city(names: DataFrame, cities: DataFrame, least: float = 0.3) -> DataFrame:
+def matched_city(names: DataFrame, cities: DataFrame, least: float = LEAST, *, contained: bool = False) -> DataFrame:
     """name, city_id, city_name: for each distinct name the city of the same normalised name, else the most similar by trigrams.
 
-    Only cities that share a trigram with the name are compared. Ties go to the least id; names without a match stay out.
+    With ``contained`` a name that has neither takes the shortest city name that it is a part of.
+    Ties go to the least id; names without a match stay out.
     """
-    q = names.select("name").distinct().select("name", trigrams(F.col("name")).alias("q"))
-    c = cities.select(F.col("id").alias("city_id"), F.col("name").alias("city_name"), trigrams(F.col("name")).alias("c"))
-    shared = q.select("name", F.size("q").alias("nq"), F.explode("q").alias("g")).join(c.select("city_id", "city_name", F.size("c").alias("nc"), F.explode("c").alias("g")), "g")
-    pairs = shared.groupBy("name", "city_id", "city_name", "nq", "nc").agg(F.count("*").alias("both"))
-    alike = F.col("both") / (F.col("nq") + F.col("nc") - F.col("both"))
-    exact = normalize(F.col("name")) == normalize(F.col("city_name"))
-    ranked = pairs.withColumn("similarity", alike).where(exact | (F.col("similarity") >= least))
+    held = cities.select(F.col("id").alias("city_id"), F.col("name").alias("found"))
+    exact = normalize(F.col("name")) == normalize(F.col("found"))
     rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc(exact.cast("int")), F.desc("similarity"), "city_id"))
-    return ranked.withColumn("rank", rank).where("rank = 1").select("name", "city_id", "city_name")
+    best = similar(names, cities, least=least).join(held, "found").withColumn("rank", rank).where("rank = 1").select("name", "city_id", F.col("found").alias("city_name"))
+    if not contained:
+        return best
+    rest = names.select("name").distinct().join(best.select("name"), "name", "left_anti")
+    whole = containing(rest, cities).join(held, "found").groupBy("name").agg(F.min(F.struct(F.length("found"), "city_id", "found")).alias("b"))
+    return best.union(whole.select("name", "b.city_id", "b.found"))
 
 
-def streets_in_cities(streets: DataFrame, cities: DataFrame, edges: DataFrame) -> DataFrame:
+def streets_in_cities(streets: DataFrame, cities: DataFrame, edges: DataFrame, least: float | None = None) -> DataFrame:
     """Each street in the one detected city that has it, or of several in the one nearest to all cities' mean point, the first of equals.
 
     ``cities``: doc_id, ord, city_id (null: only context), city_name, lat, lon. ``edges``: edge_id, city_id, name.
-    A street that no detected city has is left out.
+    With ``least`` a city that lacks the street has the one of its streets that is most like it,
+    from this similarity on (the first by name of equals). A street that no detected city has is left out.
     """
     centre = cities.groupBy("doc_id").agg(F.avg("lat").alias("mid_lat"), F.avg("lon").alias("mid_lon"))
     asked = streets.withColumn("key", normalize(without_street_prefix(F.col("text"))))
-    # Edges fold to a row per city and street before they meet the texts.
-    held = edges.groupBy("city_id", normalize(without_street_prefix(F.col("name"))).alias("key")).agg(F.array_sort(F.collect_set("edge_id")).alias("edge_ids"))
+    keyed = edges.select("edge_id", "city_id", normalize(without_street_prefix(F.col("name"))).alias("found"))
+    held = keyed.select("city_id", "found").distinct()
     places = cities.where("city_id is not null").select("doc_id", F.col("ord").alias("city_ord"), "city_id", "city_name", "lat", "lon")
-    hits = asked.join(places, "doc_id").join(held, ["city_id", "key"])
-    per = hits.withColumn("city", F.struct("city_ord", "city_name", "lat", "lon"))  # a city that is mentioned twice keeps its first mention below
+    met = asked.join(places, "doc_id")
+    same = held.select("city_id", F.col("found").alias("key"), "found")
+    if least is not None:
+        wanted = met.select("city_id", "key").distinct()
+        lost = wanted.join(same.select("city_id", "key"), ["city_id", "key"], "left_anti")
+        like = similar(lost, held.select("city_id", F.col("found").alias("key")), scope=("city_id",), name="key", least=least)
+        best = like.groupBy("city_id", F.col("name").alias("key")).agg(F.min_by("found", F.struct(-F.col("similarity"), "found")).alias("found"))
+        same = same.unionByName(best)
+    per = met.join(same, ["city_id", "key"]).withColumn("city", F.struct("city_ord", "city_name", "lat", "lon"))  # a city that is mentioned twice keeps its first mention below
     away = haversine(F.col("city.lat"), F.col("city.lon"), F.col("mid_lat"), F.col("mid_lon"))
-    best = F.min_by(F.struct("city_id", "city.city_name", "edge_ids"), F.struct(F.coalesce(away, F.lit(float("inf"))), "city.city_ord"))
-    return per.join(centre, "doc_id").groupBy("doc_id", "ord", "text").agg(best.alias("b")).select("doc_id", "ord", "text", "b.*")
+    best = F.min_by(F.struct("city_id", "city.city_name", "found"), F.struct(F.coalesce(away, F.lit(float("inf"))), "city.city_ord"))
+    chosen = per.join(centre, "doc_id").groupBy("doc_id", "ord", "text").agg(best.alias("b")).select("doc_id", "ord", "text", "b.*")
+    # Only the streets that were chosen bring their edges.
+    ids = keyed.join(chosen.select("city_id", "found").distinct(), ["city_id", "found"], "left_semi").groupBy("city_id", "found").agg(F.array_sort(F.collect_set("edge_id")).alias("edge_ids"))
+    return chosen.join(ids, ["city_id", "found"]).select("doc_id", "ord", "text", "city_id", "city_name", "edge_ids")
 
 
 def nearest_city(points: DataFrame, cities: DataFrame) -> DataFrame:

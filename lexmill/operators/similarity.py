@@ -151,14 +151,19 @@ def banded_pairs(signed: DataFrame, *, bands: int = 32, cut: float = CUT) -> Dat
     return found.where(F.col("agreement") >= cut)
 
 
+def hashed_bands(signed: DataFrame, bands: int) -> DataFrame:
+    """A row for each band of a signature of ``bands`` places or more, with ``band``, the hash of its number and values."""
+    width = f"cast(size(signature) / {bands} as int)"
+    return signed.where(F.size("signature") >= bands).withColumn("band", F.explode(F.expr(f"transform(sequence(0, {bands - 1}), i -> xxhash64(i, slice(signature, i * {width} + 1, {width})))")))
+
+
 def first_recent(new: DataFrame, window: DataFrame, *, bands: int = 32, cut: float = CUT) -> DataFrame:
     """id and ``match``, null where there is none: for each signature the most recent row of ``window`` that agrees in ``cut`` of the places.
 
     ``new``: id, signature; ``window``: id, signature, date (ties by least id), bounded by the
     caller (``sources.tables.newest``). Rows that share no band are not compared; one id in both is no match of itself.
     """
-    key = lambda df: df.where(F.size("signature") >= bands).withColumn("band", F.explode(F.expr(f"transform(sequence(0, {bands - 1}), i -> xxhash64(i, slice(signature, i * cast(size(signature) / {bands} as int) + 1, cast(size(signature) / {bands} as int))))")))
-    met = key(new).select("id", "band").join(key(window).select("band", F.col("id").alias("old")), "band").where("id <> old").select("id", "old").distinct()
+    met = hashed_bands(new, bands).select("id", "band").join(hashed_bands(window, bands).select("band", F.col("id").alias("old")), "band").where("id <> old").select("id", "old").distinct()
     sides = met.join(new.select("id", F.col("signature").alias("sig_a")), "id").join(window.select(F.col("id").alias("old"), F.col("signature").alias("sig_b"), "date"), "old")
     good = sides.where(agreement(F.col("sig_a"), F.col("sig_b")) >= cut)
     best = good.groupBy("id").agg(F.max_by("old", F.struct("date", -F.col("old"))).alias("match"))
