@@ -40,6 +40,22 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_skewed(rows: DataFrame, marks: DataFrame, key: str, size: str, how: str = "inner", share: int = 1000) -> DataFrame:
+    """``rows`` with the row of ``marks`` (one a key) of their key; ``size``, at most the key's number of rows, goes.
+
+    Marks of over one in ``share`` of all rows, so no more than ``share``, are sent to all tasks: a
+    key of any frequency stays where its rows are. The others are joined by a shuffle.
+    """
+    marks = cut(marks, "marks")
+    least = rows.count() // share
+    cold = marks.where(F.col(size) <= least).drop(size)
+    hot = marks.where(F.col(size) > least).drop(size)
+    if hot.isEmpty():
+        return rows.join(cold, key, how)
+    apart = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
+    return rows.join(F.broadcast(hot), key).unionByName(apart, allowMissingColumns=True)
+
+
 def tidy(run: Callable) -> Callable:
     """A function of ``mapInArrow`` after which the worker, which Spark uses again, returns freed memory to the system."""
 
