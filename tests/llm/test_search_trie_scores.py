@@ -190,10 +190,12 @@ def test_windows_score_each_id_once_as_attention_by_hand():
             h = (a / a.sum()) @ model.value[[u[s] for s in back]] + model.direct[u[here]]
             first = model.head @ h + model.head_bias
             first -= np.log(np.exp(first).sum())
-            total += first[min(target, lm.HEAD)]
+            group = sum(target >= c for c in lm.CUTS[1:])
+            total += first[target if target < lm.HEAD else lm.HEAD + group]
             if target >= lm.HEAD:
-                second = model.tail @ h + model.tail_bias
-                total += second[target - lm.HEAD] - np.log(np.exp(second).sum())
+                rows = slice(lm.CUTS[group] - lm.HEAD, lm.CUTS[group + 1] - lm.HEAD)
+                second = model.tail[rows] @ h + model.tail_bias[rows]
+                total += second[target - lm.CUTS[group]] - np.log(np.exp(second).sum())
             total += model.spare[ids[t]]
         assert score == pytest.approx(total, rel=1e-4)
 
