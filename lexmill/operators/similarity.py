@@ -20,6 +20,8 @@ from ..shared import written
 from .graph import connected_components
 
 PERMUTATIONS, SHINGLE, CUT, PRIME = 128, 3, 0.9, (1 << 31) - 1
+#: Bits of the mark that a set sends ahead of itself.
+BITS = 512
 
 
 def shingle_sets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE) -> DataFrame:
@@ -42,28 +44,62 @@ def classes(sets: DataFrame) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, cut: float) -> DataFrame:
-    """(id, n, s): of each hashed set the shingles that one similar enough shares one of at least, so far as any other set has them.
+    """(id, n, s, short): of each hashed set the shingles that one similar enough shares one of at least, so far as any other set has them.
 
     Under one order of all shingles, rare ones first, two such sets share one of their first
-    |S| - ceil(cut |S|) + 1. Shingles of a single set come first and only shorten what is left.
+    |S| - ceil(cut |S|) + 1; and of the smaller one, one of its first |S| - ceil(2 cut / (1 + cut) |S|) + 1,
+    which are ``short``. Shingles of a single set come first and only shorten what is left: sets of
+    one template that differ in as many own shingles as keep them apart have no short ones, and never meet.
     """
     items = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
     often = items.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
     shared = items.join(often, "s")
     place = Window.partitionBy("id").orderBy("df", "s")
     alone = F.col("n") - F.count("*").over(Window.partitionBy("id"))
+    last = lambda share: F.col("n") - F.ceil(F.lit(share) * F.col("n") - 1e-9) + 1
     ranked = shared.withColumn("rank", F.row_number().over(place) + alone)
-    return ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.lit(cut) * F.col("n") - 1e-9) + 1).select("id", "n", "s")
+    return ranked.where(F.col("rank") <= last(cut)).select("id", "n", "s", (F.col("rank") <= last(2 * cut / (1 + cut))).alias("short"))
+
+
+def meeting(prefix: DataFrame, cut: float) -> DataFrame:
+    """(x, y): ids of sets that share a prefix shingle and whose sizes allow a link; y is the smaller one, of equals the one of less id."""
+    x = prefix.select("s", F.col("id").alias("x"), F.col("n").alias("n_x"), *([F.col("of").alias("of_x")] if "of" in prefix.columns else []))
+    y = prefix.where("short").select("s", F.col("id").alias("y"), F.col("n").alias("n_y"), *([F.col("of").alias("of_y")] if "of" in prefix.columns else []))
+    apart = F.col("of_x") != F.col("of_y") if "of" in prefix.columns else F.lit(True)
+    smaller = (F.col("n_y") < F.col("n_x")) | ((F.col("n_y") == F.col("n_x")) & (F.col("y") < F.col("x")))
+    return x.join(y, "s").where(smaller & apart & sizes_allow(cut, "n_x", "n_y")).select("x", "y").distinct()
 
 
 def sizes_allow(cut: float, a: str = "n_a", b: str = "n_b") -> Column:
     return F.least(a, b) >= F.lit(cut) * F.greatest(a, b) - 1e-9
 
 
-def verified(pairs: DataFrame, sets: DataFrame, cut: float) -> DataFrame:
-    """a, b, common, jaccard of the pairs (a, b) whose whole sets reach ``cut``."""
+def parity(shingles: Column) -> Column:
+    """``BITS`` bits of a hashed set as longs: whether an even or odd number of its shingles falls on each. Two sets differ in as many shingles at least as in bits."""
+
+    @F.arrow_udf("array<long>")
+    def fold(sets: pa.Array) -> pa.Array:
+        ends = sets.offsets.to_numpy()
+        own = np.repeat(np.arange(len(sets)), np.diff(ends))
+        at = sets.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]] & (BITS - 1)
+        odd = (np.bincount(own * BITS + at, minlength=len(sets) * BITS) & 1).astype(np.uint8)
+        return pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(odd).view(np.int64)), BITS // 64).cast(pa.list_(pa.int64()))
+
+    return fold(shingles)
+
+
+def marked(sets: DataFrame) -> DataFrame:
+    """id, n and bits of each hashed set."""
+    return written(sets.select("id", F.size("shingles").alias("n"), parity(F.col("shingles")).alias("bits")), "bits")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, cut: float, marks: DataFrame) -> DataFrame:
+    """a, b, common, jaccard of the pairs (a, b) whose whole sets reach ``cut``; only pairs that their ``marks`` allow bring their sets."""
+    mark = lambda c: marks.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    may = pairs.join(mark("a"), "a").join(mark("b"), "b").where(apart <= F.lit((1 - cut) / (1 + cut)) * (F.col("n_a") + F.col("n_b")) + 1e-9).select("a", "b")
     side = lambda c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = may.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
     found = both.select("a", "b", common.cast("long").alias("common"), (common / (F.size("set_a") + F.size("set_b") - common)).alias("jaccard"))
     return found.where(F.col("jaccard") >= cut)
@@ -71,10 +107,8 @@ def verified(pairs: DataFrame, sets: DataFrame, cut: float) -> DataFrame:
 
 def jaccard_pairs(sets: DataFrame, cut: float = CUT) -> DataFrame:
     """a, b, common, jaccard for all pairs of ids whose hashed sets reach ``cut``; every pair is a row of the result."""
-    prefix = written(prefixes(sets, cut), "prefixes")
-    x, y = prefix.select("s", F.col("id").alias("a"), F.col("n").alias("n_a")), prefix.select("s", F.col("id").alias("b"), F.col("n").alias("n_b"))
-    near = x.join(y, "s").where((F.col("a") < F.col("b")) & sizes_allow(cut)).select("a", "b").distinct()
-    return verified(near, sets, cut)
+    near = meeting(written(prefixes(sets, cut), "prefixes"), cut)
+    return verified(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), sets, cut, marked(sets))
 
 
 def jaccard_components(sets: DataFrame, cut: float = CUT) -> DataFrame:
@@ -83,18 +117,16 @@ def jaccard_components(sets: DataFrame, cut: float = CUT) -> DataFrame:
     First every set is compared with the least of each of its prefix shingles; what links forms
     components. Only sets that still are in different components, and share such a shingle, meet then.
     """
-    prefix = written(prefixes(sets, cut), "prefixes")
+    prefix, marks = written(prefixes(sets, cut), "prefixes"), marked(sets)
     lead = prefix.groupBy("s").agg(F.min(F.struct("id", "n")).alias("lead"))
     star = prefix.join(lead, "s").select(F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b"))
     star = star.where((F.col("a") < F.col("b")) & sizes_allow(cut)).select("a", "b").distinct()
-    label = written(connected_components(sets.select("id"), verified(star, sets, cut).select("a", "b")), "labels")
-    tagged = prefix.join(label, "id")
-    apart = tagged.groupBy("s").agg(F.min("cluster_id").alias("low"), F.max("cluster_id").alias("high")).where("low <> high").select("s")
-    tagged = tagged.join(apart, "s", "left_semi")
-    side = lambda c: tagged.select("s", F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("cluster_id").alias(f"of_{c}"))
-    rest = side("a").join(side("b"), "s").where((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & sizes_allow(cut)).select("a", "b").distinct()
+    label = written(connected_components(sets.select("id"), verified(star, sets, cut, marks).select("a", "b")), "labels")
+    tagged = prefix.join(label.withColumnRenamed("cluster_id", "of"), "id")
+    apart = tagged.groupBy("s").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high").select("s")
+    rest = meeting(tagged.join(apart, "s", "left_semi"), cut).select(F.col("x").alias("a"), F.col("y").alias("b"))
     of = lambda c: label.select(F.col("id").alias(c), F.col("cluster_id").alias(f"of_{c}"))
-    bridges = verified(rest, sets, cut).join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    bridges = verified(rest, sets, cut, marks).join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
     tops = connected_components(label.select(F.col("cluster_id").alias("id")).distinct(), bridges)
     return label.join(tops.select(F.col("id").alias("cluster_id"), F.col("cluster_id").alias("top")), "cluster_id").select("id", F.col("top").alias("cluster_id"))
 
