@@ -1,11 +1,14 @@
-"""Queries of indexes and lookups: vectors by inverted lists, names by trigrams, the recent window and the folded index."""
+"""Queries of indexes and lookups: vectors by inverted lists, names by trigrams, the recent window, the folded index and the graph as tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import knn, places, vector_index
-from .catalogue import KM, MERGED, SCORES, SIGNED, TOWNS, _clusters, _towns, _vectors, query, sql_trigrams, t
+from ..functions import text as tx
+from ..operators import knn, places, resolve, vector_index
+from ..shared import shared_folder
+from . import relations
+from .catalogue import KM, MENTIONS, MERGED, SCORES, SIGNED, TOWNS, _clusters, _mentions, _towns, _vectors, query, sql_name, sql_trigrams, t
 
 # Vectors
 
@@ -103,3 +106,57 @@ def stream_folded_index(spark, d):
 
     rows = folded_articles(spark, d).latest()
     return rows.select(F.col("key").alias("text_key"), "ord", F.array_join("sources", "|").alias("sources"), F.col("date").cast("string").alias("date"))
+
+
+# The graph as tables
+
+GRAPH = f"""{MENTIONS}, c AS (SELECT doc_id, no, ord, canonical_name, type, evidence, {sql_name('canonical_name')} AS cluster_id, no % 7 / 8.0 AS confidence,
+  CASE WHEN no % 5 <> 0 THEN no % 5 END AS size, type || no % 3 AS kind FROM ids),
+e AS (SELECT h.cluster_id AS head, (h.no % 3)::VARCHAR AS type, t.cluster_id AS tail, h.doc_id, h.ord, h.confidence, h.size FROM c h JOIN c t ON t.doc_id = h.doc_id AND t.no = h.no + 1)"""
+
+
+def _graph(spark, d):
+    vertices = resolve.cluster_ids(resolve.premerge(_mentions(spark, d)))
+    no = F.col("id").cast("long")
+    size = F.when(no % 5 != 0, no % 5)
+    facts = F.to_json(F.struct(size.alias("size"), F.concat("type", (no % 3).cast("string")).alias("kind")))
+    vertices = vertices.withColumns({"attributes": facts, "confidence": (no % 7 / 8)})
+    clusters = vertices.select("doc_id", "id", tx.normalize_name(F.col("canonical_name")).alias("cluster_id"))
+    edges = vertices.select("doc_id", F.col("id").alias("head_id"), (no % 3).cast("string").alias("type"), (no + 1).cast("string").alias("tail_id"), "confidence", F.array(F.lit("said")).alias("evidence"), "ord", F.to_json(F.struct(size.alias("size"))).alias("attributes"))
+    folder = shared_folder(spark, "graph")
+    relations.write_graph(relations.graph_tables(vertices, edges, clusters), folder)
+    return folder
+
+
+def _best(table: str, keys: str, column: str) -> str:
+    return f"(SELECT {keys}, {column} FROM {table} WHERE {column} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY confidence DESC, doc_id, ord) = 1)"
+
+
+@query(
+    "graph_vertices",
+    f"""WITH {GRAPH} SELECT v.*, size, kind FROM (
+SELECT cluster_id, first(canonical_name ORDER BY length(canonical_name) DESC, doc_id, ord) AS canonical_name, count(*) AS n_members, count(DISTINCT doc_id) AS n_docs, sum(len(evidence))::BIGINT AS n_evidence
+FROM c GROUP BY 1) v
+LEFT JOIN {_best('c', 'cluster_id', 'size')} USING (cluster_id) LEFT JOIN {_best('c', 'cluster_id', 'kind')} USING (cluster_id)""",
+)
+def graph_vertices(spark, d):
+    rows = relations.read_graph(spark, _graph(spark, d), "vertices")
+    return rows.select("cluster_id", "canonical_name", "n_members", "n_docs", "n_evidence", F.variant_get("attributes", "$.size", "long").alias("size"), F.variant_get("attributes", "$.kind", "string").alias("kind"))
+
+
+@query(
+    "graph_edges",
+    f"""WITH {GRAPH} SELECT x.*, size FROM (SELECT head, type, tail, max(confidence)::DOUBLE AS confidence, count(DISTINCT doc_id) AS n_docs, count(*) AS n_evidence FROM e GROUP BY ALL) x
+LEFT JOIN {_best('e', 'head, type, tail', 'size')} USING (head, type, tail)""",
+)
+def graph_edges(spark, d):
+    rows = relations.read_graph(spark, _graph(spark, d), "edges")
+    return rows.select("head", "type", "tail", "confidence", "n_docs", "n_evidence", F.variant_get("attributes", "$.size", "long").alias("size"))
+
+
+@query(
+    "graph_evidence",
+    f"WITH {GRAPH} SELECT cluster_id, doc_id, ord, (i - 1)::INT AS pos, evidence[i] AS text FROM (SELECT *, unnest(range(1, len(evidence) + 1)) AS i FROM c)",
+)
+def graph_evidence(spark, d):
+    return relations.read_graph(spark, _graph(spark, d), "vertex_evidence").select("cluster_id", "doc_id", "ord", "pos", "text")
