@@ -28,10 +28,10 @@ def question(kind: str) -> str:
 
 
 def applied(rows: DataFrame, inputs: str, build: Callable[[], Callable[[list], list]], *, out: str = "answer", tries: int = 3, pause: float = 1.0) -> DataFrame:
-    """Adds ``out`` (JSON text of the answer, null on failure) and ``error``. A batch is tried again with longer pauses, then row by row."""
+    """Adds ``out`` (JSON text of the answer, null on failure) and ``error``. A batch is tried again with longer pauses, then row by row; behind a row that failed without pauses."""
     names = rows.columns
 
-    def attempt(model, batch: list) -> list[tuple[str | None, str | None]]:
+    def attempt(model, batch: list, tries: int = tries) -> list[tuple[str | None, str | None]]:
         for k in range(tries):
             try:
                 return [(json.dumps(x, ensure_ascii=False), None) for x in model(batch)]
@@ -39,7 +39,13 @@ def applied(rows: DataFrame, inputs: str, build: Callable[[], Callable[[list], l
                 last = f"{type(e).__name__}: {e}"
                 if k + 1 < tries:
                     time.sleep(pause * 2**k)
-        return [(None, last)] if len(batch) == 1 else [r for x in batch for r in attempt(model, [x])]
+        if len(batch) == 1:
+            return [(None, last)]
+        out: list[tuple[str | None, str | None]] = []
+        for x in batch:
+            # After a row has failed too, the next are asked once: in an outage none waits again.
+            out += attempt(model, [x], tries if not out or out[-1][1] is None else 1)
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = build()

@@ -12,10 +12,10 @@ def attribute_rows(rows: DataFrame, col: str = "attributes") -> DataFrame:
     ``col`` is a VARIANT or JSON text; text that is no JSON, and values that are no objects, have no attributes.
     """
     kind = dict(rows.dtypes)[col]
-    parsed = rows.withColumn("_object", F.col(col) if kind == "variant" else F.try_parse_json(F.col(col).cast("string"))).drop(col)
-    parsed = parsed.where("schema_of_variant(_object) LIKE 'OBJECT%'")
-    each = parsed.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("_object").outer())).where(~F.is_variant_null("value"))
-    return each.drop("_object", "pos").withColumnRenamed("key", "name").withColumn("value", F.to_json("value"))
+    made = F.col(col) if kind == "variant" else F.try_parse_json(F.col(col).cast("string"))
+    given = rows.select(F.struct(*(F.col(c) for c in rows.columns if c != col)).alias("_row"), made.alias("_object")).where("schema_of_variant(_object) LIKE 'OBJECT%'")
+    each = given.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("_object").outer())).where(~F.is_variant_null("value"))
+    return each.select("_row.*", F.col("key").alias("name"), F.to_json("value").alias("value"))
 
 
 def best_attributes(rows: DataFrame, keys: list[str], order: Column, col: str = "attributes") -> DataFrame:

@@ -156,7 +156,7 @@ def merge_clusters(members: DataFrame, cluster: str = "cluster_id") -> DataFrame
 
     The longest name with its type and subtype; sorted distinct aliases and documents; all evidence in order.
     """
-    longest = F.max_by(F.struct("name", "type", "subtype"), F.struct(F.length("name"), -F.col("ord")))
+    longest = F.min_by(F.struct("name", "type", "subtype"), F.struct(-F.length("name"), "ord"))
     found = members.groupBy(cluster).agg(
         longest.alias("main"),
         F.array_sort(F.collect_set("name")).alias("aliases"),

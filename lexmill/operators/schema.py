@@ -61,6 +61,7 @@ class ExtractionSchema:
         return ends + kinds
 
 
+#: The words of these answers and texts are fixed values: callers receive them.
 def _closed(required: dict) -> dict:
     return {"type": "object", "additionalProperties": False, "required": [*required], "properties": required}
 
@@ -149,5 +150,26 @@ def storage_type(schema: ExtractionSchema) -> T.StructType:
     return T.StructType(base)
 
 
+def append_version(rows: DataFrame, spec: ExtractionSchema, path: str, version: int) -> None:
+    """Write rows of the storage schema as a version of the table at ``path``; columns that rows lack are null, a version that is written again is replaced."""
+    kind = storage_type(spec)
+    have = {f.name for f in rows.schema}
+    full = rows.select(*((F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in kind))
+    full.write.mode("overwrite").parquet(f"{path}/version={version}")
+
+
+def read_versions(spark: SparkSession, path: str, spec: ExtractionSchema | None = None) -> DataFrame:
+    """All versions as one table: attributes that a later schema has are null in rows of an earlier one; ``version`` tells them apart.
+
+    With ``spec`` the table has its columns first, with their types, also those that no file has yet.
+    """
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    if spec is None:
+        return rows
+    kind = storage_type(spec)
+    known = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kind]
+    return rows.select(*known, *(c for c in rows.columns if c not in kind.fieldNames()))
+
+
 def attribute(col: Column, name: str) -> Column:
     return F.coalesce(F.element_at(col, name), F.lit(""))

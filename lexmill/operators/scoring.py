@@ -76,6 +76,20 @@ def asked_in_turn(docs: DataFrame, hypotheses: list[str], score: Callable[[DataF
     return reduce(DataFrame.unionByName, rounds)
 
 
+def nli(docs: DataFrame, hypotheses: list[str], score: Callable[[DataFrame, list[str]], DataFrame], *, threshold: float | None = None, blacklist: bool = False, exclusive: bool = False, doc: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Scores (doc, pos, hypothesis, score) of the hypotheses that were asked, and doc, labels and scores by falling score.
+
+    Without a ``threshold`` all are asked at once; with one they are asked in turn until one
+    decides. ``exclusive`` scores are logits of labels that exclude one another.
+    """
+    if threshold is None:
+        got = written(score(docs, hypotheses).select(doc, "pos", "hypothesis", "score"), "scores")
+    else:
+        got = written(asked_in_turn(docs, hypotheses, score, threshold, blacklist=blacklist, doc=doc), "scores")
+    got = softmax(got, doc) if exclusive else got
+    return got, sorted_labels(got, doc)
+
+
 def scorecard(found: DataFrame, *, keys: tuple[str, ...], case: str = "case_id") -> DataFrame:
     """Per case: expected, matched, false positives and whether it passes; ``expected`` and ``got`` are flags of each row."""
     both = F.col("expected") & F.col("got")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.merge import merge_articles, upsert
@@ -11,6 +14,10 @@ from ..operators.scoring import best_label, in_scope, scope_of, top_labels
 from ..operators.similarity import near_duplicate_clusters
 
 
+#: Every way an article may leave the pipeline.
+STATUSES = ("duplicate", "out_of_scope", "indexed")
+
+
 def statuses(docs: DataFrame, gate: DataFrame, *, white: float = 0.4, black: float = 0.7) -> DataFrame:
     """doc_id, cluster_id, status: duplicate of the cluster's least id, else out_of_scope, else indexed. ``gate``: doc_id, kind, score."""
     clusters = near_duplicate_clusters(docs.select("doc_id", "text"))
@@ -19,6 +26,16 @@ def statuses(docs: DataFrame, gate: DataFrame, *, white: float = 0.4, black: flo
     return judged.select("doc_id", "cluster_id", status.alias("status"))
 
 
+def counted(states: DataFrame, name: str = "news") -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``states`` with a look at every row that is written, and the numbers of articles by status once it has been: no second pass.
+
+    The counts are complete after the first action that runs over all rows, and wait for it.
+    """
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    counts = [F.count(F.when(F.col("status") == s, 1)).alias(s) for s in STATUSES]
+    return states.observe(seen, *counts), lambda: {k: v for k, v in seen.get.items() if v}
+
+
 def index_articles(articles: DataFrame, states: DataFrame, old: DataFrame | None = None) -> DataFrame:
     """The index rows: articles of an indexed cluster merged under its id, and merged with an older index."""
     heads = states.where("status = 'indexed'").select("cluster_id")

@@ -57,13 +57,26 @@ def partition_upsert(spark, d):
     return spark.read.parquet(path).select("doc_id", "ord", "state")
 
 
-#: One of each kind of hypothesis, with and without a threshold of its own.
-TAXONOMY = {"labels": ["Economy", "Sport"], "relevance_hypothesis": " about a city ", "blacklist_labels": ["Adverts"], "scope_hypotheses": {"city": "one city ", "national": "a country"}, "top_k": 2, "blacklist_threshold": 0.8}
+@query(
+    "taxonomy_rows",
+    """WITH topics AS (SELECT 'topic' AS kind, row_number() OVER (ORDER BY source) - 1 AS pos, source AS hypothesis, 0.5::DOUBLE AS threshold FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)),
+scopes AS (SELECT 'scope', row_number() OVER (ORDER BY lang) - 1, lang || ': written in ' || lang, 0.35 FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+banned AS (SELECT 'black', row_number() OVER (ORDER BY source) - 1, 'Adverts of ' || source, 0.8 FROM (SELECT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 AND source IS NOT NULL GROUP BY 1))
+SELECT kind, pos::INT AS pos, hypothesis, threshold FROM topics UNION ALL SELECT * FROM scopes UNION ALL SELECT * FROM banned UNION ALL SELECT 'white', 0, 'about a city', 0.4""",
+)
+def taxonomy_rows(spark, d):
+    """A taxonomy whose topics are the sources, scopes the languages, and blacklist the sources of toxic texts: few, whatever the table's size."""
+    docs = t(spark, d, "documents")
 
+    def names(df, c: str) -> list[str]:
+        found = [r[c] for r in df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).limit(10_001).collect()]
+        if len(found) > 10_000:
+            raise ValueError(f"more than 10,000 values of {c} are no taxonomy")
+        return found
 
-@query("taxonomy_rows", "SELECT * FROM (VALUES ('topic', 0, 'Economy', 0.5::DOUBLE), ('topic', 1, 'Sport', 0.5), ('white', 0, 'about a city', 0.4), ('black', 0, 'Adverts', 0.8), ('scope', 0, 'city: one city', 0.35), ('scope', 1, 'national: a country', 0.35)) v(kind, pos, hypothesis, threshold)")
-def taxonomy_rows(spark, d):
-    return config.hypotheses(spark, TAXONOMY)
+    bad = docs.join(t(spark, d, "labels").where("toxic = 1"), "doc_id")
+    taxonomy = {"labels": names(docs, "source"), "relevance_hypothesis": " about a city ", "blacklist_labels": [f"Adverts of {s}" for s in names(bad, "source")], "scope_hypotheses": {x: f"written in {x} " for x in names(docs, "lang")}, "top_k": 2, "blacklist_threshold": 0.8}
+    return config.hypotheses(spark, taxonomy)
 
 
 # Text columns
@@ -122,6 +135,41 @@ def extracted_relations(spark, d):
     return found.select("doc_id", "head", "tail", "type", "head_name", "tail_name")
 
 
+@query(
+    "ner_assembled",
+    """WITH l AS (SELECT l_orderkey AS doc_id, l_linenumber // 3 AS chunk_no, row_number() OVER (PARTITION BY l_orderkey, l_linenumber // 3 ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS k, l_returnflag AS type, l_partkey::VARCHAR AS name, l_linestatus AS rel, l_suppkey % 4 - 1 AS t FROM lineitem WHERE (l_orderkey + l_linenumber // 3) % 10 <> 0),
+e AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_no, k) - 1 AS pos, count(*) OVER (PARTITION BY doc_id, chunk_no) AS n FROM l)
+SELECT h.doc_id, h.pos AS ord, h.pos AS head, t.pos AS tail, h.name AS head_name, t.name AS tail_name FROM e h JOIN e t ON t.doc_id = h.doc_id AND t.chunk_no = h.chunk_no AND t.k = h.t
+WHERE h.rel = 'O' AND h.type IN ('A', 'N') AND t.type IN ('R', 'N')""",
+)
+def ner_assembled(spark, d):
+    """Answers made of line items, in chunks: every tenth malformed, some ends outside their chunk."""
+    from ..operators.extract import assembled
+
+    listed = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus")))
+    per = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.floor(F.col("l_linenumber") / 3).alias("chunk_no")).agg(listed.alias("lines"))
+    entities = F.transform("lines", lambda x: F.struct(x["l_partkey"].cast("string").alias("name"), x["l_returnflag"].alias("type")))
+    ends = F.transform("lines", lambda x, i: F.struct(i.alias("head"), (x["l_suppkey"] % 4 - 1).alias("tail"), x["l_linestatus"].alias("type")))
+    text = F.to_json(F.struct(F.lit("because").alias("reasoning"), entities.alias("entities"), ends.alias("relations")))
+    bad = (F.col("doc_id") + F.col("chunk_no")) % 10 == 0
+    answers = per.select("doc_id", "chunk_no", F.when(bad, F.concat(F.lit("Sorry: "), text)).otherwise(text).alias("answer"))
+    return assembled(answers, ASKED)[1].select("doc_id", "ord", "head", "tail", "head_name", "tail_name")
+
+
+@query(
+    "storage_versions",
+    "SELECT 1 AS version, p_partkey::VARCHAR AS id, p_name AS name, p_size::DOUBLE AS size, NULL::VARCHAR AS colour FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT 2, p_partkey::VARCHAR, p_name, NULL, split_part(p_name, ' ', 1) FROM part WHERE p_partkey % 2 = 1",
+)
+def storage_versions(spark, d):
+    """Two versions of one table; the second schema has an attribute that the first lacks."""
+    first = schema.ExtractionSchema((schema.EntityType("PART", "", (), (schema.Attribute("size", "number"),)),))
+    second = schema.ExtractionSchema((schema.EntityType("PART", "", (), (schema.Attribute("size", "number"), schema.Attribute("colour", "string"))),))
+    part, path = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("double").alias("size"), F.col("p_partkey").alias("k")), shared_folder(spark, "storage")
+    schema.append_version(part.where("k % 2 = 0"), first, path, 1)
+    schema.append_version(part.where("k % 2 = 1").drop("size").withColumn("colour", F.substring_index("name", " ", 1)), second, path, 2)
+    return schema.read_versions(spark, path, second).select("version", "id", "name", "size", "colour")
+
+
 # The pipelines' last steps
 
 
