@@ -40,20 +40,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_skewed(rows: DataFrame, marks: DataFrame, key: str, size: str, how: str = "inner", share: int = 1000) -> DataFrame:
-    """``rows`` with the row of ``marks`` (one a key) of their key; ``size``, at most the key's number of rows, goes.
+def join_skewed(rows: DataFrame, marks: DataFrame, key: str, size: str, total: int, how: str = "inner", share: int = 1000) -> DataFrame:
+    """``rows``, ``total`` of them, with the row of ``marks`` (one a key) of their key; ``size``, at most the key's number of rows, goes.
 
-    Marks of over one in ``share`` of all rows, so no more than ``share``, are sent to all tasks: a
-    key of any frequency stays where its rows are. The others are joined by a shuffle.
+    A key of over one in ``share`` of all rows is dealt to as many tasks as make shares of that
+    size; there can be no more than ``share`` such keys, which all tasks are told.
     """
-    marks = cut(marks, "marks")
-    least = rows.count() // share
-    cold = marks.where(F.col(size) <= least).drop(size)
-    hot = marks.where(F.col(size) > least).drop(size)
+    marks, least = cut(marks, "marks"), max(1, total // share)
+    hot = marks.where(F.col(size) > least).select(key, F.ceil(F.col(size) / least).cast("int").alias("_parts"))
     if hot.isEmpty():
-        return rows.join(cold, key, how)
-    apart = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
-    return rows.join(F.broadcast(hot), key).unionByName(apart, allowMissingColumns=True)
+        return rows.join(marks.drop(size), key, how)
+    cold = marks.join(F.broadcast(hot), key, "left").drop(size).withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    told = rows.join(F.broadcast(hot), key, "left")
+    part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.col("_parts"))).otherwise(0).cast("int")
+    return told.withColumn("_part", part).drop("_parts").join(cold, [key, "_part"], how).drop("_part")
 
 
 def tidy(run: Callable) -> Callable:
