@@ -36,18 +36,16 @@ MOST_SOURCES = 100_000
 
 def targets(sizes: list[int], weights: list[float], most: int) -> list[float]:
     """Shares of the sum of ``sizes`` by ``weights``; none above ``most`` times its size, the excess going to the others by weight."""
-    total, out, left = float(sum(sizes)), [0.0] * len(sizes), set(range(len(sizes)))
-    while left:
-        rest = total - sum(out[i] for i in range(len(sizes)) if i not in left)
-        scale = rest / sum(weights[i] for i in left)
-        full = {i for i in left if weights[i] * scale > most * sizes[i]}
-        if not full:
-            for i in left:
-                out[i] = weights[i] * scale
+    rest, left, out = float(sum(sizes)), float(sum(weights)), [0.0] * len(sizes)
+    # Sources fill up in the order of size over weight: what one leaves over only helps to fill the next.
+    order = sorted(range(len(sizes)), key=lambda i: sizes[i] / weights[i])
+    for k, i in enumerate(order):
+        if weights[i] * rest / left <= most * sizes[i]:
+            for j in order[k:]:
+                out[j] = weights[j] * rest / left
             break
-        for i in full:
-            out[i] = float(most * sizes[i])
-        left -= full
+        out[i] = float(most * sizes[i])
+        rest, left = rest - out[i], left - weights[i]
     return out
 
 
@@ -123,14 +121,16 @@ def code_point_order(keys: list[str | None]) -> list[str | None]:
     return sorted((k for k in keys if k is not None)) + ([None] if None in keys else [])
 
 
-def shuffle_key(id_col: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null"))).cast("binary"))
+def shuffle_key(id_col: Column, text_col: Column, seed: int) -> Column:
+    """A row's place in the shuffle: by id and text, so that rows of one id, or of none, are dealt out as well."""
+    text = F.coalesce(F.md5(text_col.cast("binary")), F.lit("-"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))
 
 
 def lay_out(docs: DataFrame, *, block: int, seed: int, weights: tuple[float, ...], most: int, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, Plan]:
     """Every document with its place in its source's shuffled word layout, and the plan."""
     spark = docs.sparkSession
-    sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), shuffle_key(F.col(id_col), seed).alias("order")), "mix-sizes")
+    sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), shuffle_key(F.col(id_col), F.col(text_col), seed).alias("order")), "mix-sizes")
     rows = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -171,8 +171,8 @@ def op1_source_mix(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFra
     """How many words of each document of ``documents`` the mix takes."""
     mixed, placed = mix(table(spark, sf_dir, "documents") if docs is None else docs)
     sums = mixed.groupBy("source_no", "start").agg(F.sum("n_words").alias("words"))
-    at = F.when(F.col("size") > 0, F.col("start"))
-    found = placed.withColumn("at", at).join(sums.withColumnRenamed("start", "at"), ["source_no", "at"], "left")
+    # Documents without words share their place with another, and are never taken.
+    found = placed.where("size > 0").join(sums, ["source_no", "start"], "left").unionByName(placed.where("size = 0"), allowMissingColumns=True)
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken"), "source")
 
 
@@ -180,7 +180,7 @@ def op1_source_mix(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFra
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents),
+         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), '-')) AS k FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM sized GROUP BY source),
