@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.stem import STOP_WORDS, stem
 from ..functions.text import bullets, labelled_line, let, normalize, numbered, sentence_count, sentences, word_count, words
 
 BUDGET, HEADLINE, SUMMARY, CHUNK = 400, (8, 15), (2, 4), 512
@@ -38,14 +39,20 @@ def sentence_budget(text: Column, budget: int = BUDGET) -> Column:
     return F.when(word_count(text) > budget, let(sentences(text), fits))
 
 
-def rank_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = 15, damping: float = 0.85) -> DataFrame:
-    """id, pos, sentence, rank weight: a walk over the sentences of a document that share words.
+def sentence_words(sentence: Column, *, stemmed: bool = True, stop: tuple[str, ...] = STOP_WORDS) -> Column:
+    """The distinct words of a sentence, runs of letters and digits in lower case; ``stemmed`` without those of ``stop``, as Spanish stems."""
+    found = F.regexp_extract_all(F.lower(sentence), F.lit(r"[\p{L}\p{N}]+"), 0)
+    return F.array_distinct(F.transform(F.filter(found, lambda w: ~w.isin(*stop)), stem) if stemmed else found)
+
+
+def rank_sentences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = 15, damping: float = 0.85, stemmed: bool = True, stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
+    """id, pos, sentence, rank weight: a walk over the sentences of a document that share words, or stems of words.
 
     The walk goes from a sentence to a word of it and on to a sentence with that word, which
     is the same as weighing pairs of sentences by common words but never makes the pairs.
     """
     s = docs.select(F.col(id_col).alias("id"), F.posexplode(sentences(F.col(text_col))).alias("pos", "sentence"))
-    w = s.select("id", "pos", F.explode(F.array_distinct(words(normalize(F.col("sentence"))))).alias("word"))
+    w = s.select("id", "pos", F.explode(sentence_words(F.col("sentence"), stemmed=stemmed, stop=stop)).alias("word"))
     deg_w = w.groupBy("id", "word").agg(F.count("*").alias("in_word"))
     deg_s = w.groupBy("id", "pos").agg(F.count("*").alias("in_sentence"))
     links = w.join(deg_w, ["id", "word"]).join(deg_s, ["id", "pos"])

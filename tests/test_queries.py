@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from lexmill.plans import catalogue, composed, lookups, records  # noqa: F401
+from lexmill.plans import catalogue, composed, lookups, records, stems  # noqa: F401
 
 DATA = os.environ.get("LEXMILL_TESTDATA", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
