@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shared import written
 from .fuzzy import LEAST
 from .places import homonyms, looked_up, matched_city, most_populous, nearest_city, output_order, span_types, streets_in_cities, uncovered
 
@@ -58,8 +59,9 @@ def geotag(spans: DataFrame, index: DataFrame, cities: DataFrame, edges: DataFra
     places, but streets and locations still look at them. Streets that no detected city has
     and names without an entry are left out. The trace has type, detected city and its id of each span.
     """
-    found = looked_up(spans, index)
-    types = decided(span_types(found), type_scores).select("doc_id", "ord", "type")
+    # What several steps read is written once: the joins behind it are not worked out anew for each.
+    found = written(looked_up(spans, index), "looked-up")
+    types = written(decided(span_types(found), type_scores).select("doc_id", "ord", "type"), "types")
     of = lambda kind: found.join(types.where(F.col("type") == kind).select("doc_id", "ord"), ["doc_id", "ord"], "left_semi")
     text = spans.select("doc_id", "ord", "text")
     nothing = {"admin1_code": "string", "city_id": "long", "city_name": "string", "edge_ids": "array<long>", "lat": "double", "lon": "double", "name": "string", "geonames_id": "long"}
@@ -71,9 +73,9 @@ def geotag(spans: DataFrame, index: DataFrame, cities: DataFrame, edges: DataFra
 
     regions = most_populous(of("region"), "A").withColumnRenamed("entry_id", "geonames_id").drop("population")
     cand = homonyms(of("city").where("feature_class = 'P'"))
-    city = chosen_city(cand, city_scores)
+    city = written(chosen_city(cand, city_scores), "chosen")
     match = matched_city(city.select("name"), cities, contained=True)
-    city = city.join(match, "name", "left").withColumn("city_name", F.coalesce("city_name", "name"))
+    city = written(city.join(match, "name", "left").withColumn("city_name", F.coalesce("city_name", "name")), "cities")
     detected = city.where("lat is not null").select("doc_id", "ord", "city_id", "city_name", "lat", "lon")
     asked = text.join(types.where("type = 'street'").select("doc_id", "ord"), ["doc_id", "ord"])
     streets = streets_in_cities(asked, detected, edges, least=LEAST)
