@@ -41,9 +41,22 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def jamo(col: Column) -> Column:
+    """Composed Hangul syllables as their letters, which arithmetic on code points gives."""
+    letter = lambda code: F.decode(F.unhex(F.hex(code)), "UTF-16BE")
+
+    def apart(c: Column) -> Column:
+        at = F.ascii(c) - 0xAC00
+        last = F.when(at % 28 > 0, letter(0x11A7 + at % 28)).otherwise("")
+        return F.when(c.between("\uac00", "\ud7a3"), F.concat(letter(0x1100 + F.floor(at / 588)), letter(0x1161 + F.floor(at % 588 / 28)), last)).otherwise(c)
+
+    return F.array_join(F.transform(F.split(col, ""), apart), "")
+
+
 def strip_accents(col: Column) -> Column:
     """Without accents; a text of one byte a character has none and is left as it is."""
-    return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(F.translate(col, *accent_table()))
+    plain = F.translate(col, *accent_table())
+    return F.when(F.octet_length(col) == F.char_length(col), col).when(col.rlike("[\uac00-\ud7a3]"), jamo(plain)).otherwise(plain)
 
 
 def normalize(col: Column) -> Column:

@@ -51,3 +51,14 @@ def test_vectors_and_distance(spark):
     assert abs(got[0] - 0.5**0.5) < 1e-9 and got[1] is None and got[2] == 0.5 and got[3] == 0.0
     km = spark.range(1).select(geo.haversine(F.lit(40.4168), F.lit(-3.7038), F.lit(41.3874), F.lit(2.1686))).first()[0]
     assert abs(km - 505) < 2
+
+
+def test_composed_hangul_comes_apart(spark):
+    import unicodedata
+
+    texts = ["한국어 Éa", "가힣각", "ㄱ ascii", "Ñandú", "각".encode().decode() + "é" * 3, None]
+    folded = lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFD", t.lower()) if not unicodedata.combining(c))
+    from lexmill.functions.text import normalize
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r["n"] for r in df.select(normalize(df.t).alias("n")).collect()] == [folded(t) for t in texts]
