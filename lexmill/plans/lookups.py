@@ -8,7 +8,7 @@ from ..functions import text as tx
 from ..operators import knn, places, resolve, vector_index
 from ..shared import shared_folder
 from . import relations
-from .catalogue import KM, MENTIONS, MERGED, SCORES, SIGNED, TOWNS, _clusters, _mentions, _towns, _vectors, query, sql_name, sql_trigrams, t
+from .catalogue import KM, MENTIONS, MERGED, SCORES, SIGNED, TOWNS, _clusters, _mentions, _towns, _vectors, edges_digest, query, sql_name, sql_trigrams, t
 
 # Vectors
 
@@ -80,8 +80,8 @@ def street_fuzzy(spark, d):
     text = F.concat(F.lit("Calle Rúa Nov"), F.when(k % 2 == 0, "a ").otherwise(""), (k % 40).cast("string"))
     streets = t(spark, d, "customer").select(F.col("c_nationkey").cast("long").alias("doc_id"), k.alias("ord"), text.alias("text"))
     edges = t(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("edge_id"), F.col("l_suppkey").alias("city_id"), F.concat(F.lit("RUA Nova "), (F.col("l_partkey") % 40).cast("string")).alias("name"))
-    found = places.streets_in_cities(streets, _towns(spark, d), edges, least=0.3)
-    return found.select("doc_id", "ord", "city_id", F.md5(F.array_join(F.col("edge_ids").cast("array<string>"), ",").cast("binary")).alias("edges"))
+    found = places.streets_in_cities(streets, _towns(spark, d), edges, least=0.3, gathered=edges_digest)
+    return found.select("doc_id", "ord", "city_id", F.col("edge_ids").alias("edges"))
 
 
 # Streams
