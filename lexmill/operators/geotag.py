@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from ..shared import written
 from .fuzzy import LEAST
-from .places import homonyms, looked_up, matched_city, most_populous, nearest_city, output_order, span_types, streets_in_cities, uncovered
+from .places import CANDIDATES, edge_list, homonyms, key_classes, leading, looked_up, matched_city, most_populous, nearest_city, output_order, span_types, streets_in_cities, uncovered
 
 #: The types that a score table's positions stand for.
 ASKED = ("region", "city", "location")
@@ -51,18 +51,19 @@ def chosen_city(candidates: DataFrame, scores: DataFrame | None) -> DataFrame:
     return found.withColumn("confidence", F.when(F.col("n") == 1, 1.0).otherwise(F.coalesce("score", F.lit(0.0)))).drop("score", "n")
 
 
-def geotag(spans: DataFrame, index: DataFrame, cities: DataFrame, edges: DataFrame, *, type_scores: DataFrame | None = None, city_scores: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def geotag(spans: DataFrame, index: DataFrame, cities: DataFrame, edges: DataFrame, *, type_scores: DataFrame | None = None, city_scores: DataFrame | None = None, gathered=edge_list) -> tuple[DataFrame, DataFrame]:
     """The places of each document, ``place_no`` from 0, and the trace of all spans.
 
     ``index``: a ``gazetteer_index``; ``cities``: id, name; ``edges``: edge_id, city_id, name.
     Regions are the most populous entry of class A. Cities without an id of ``cities`` are no
     places, but streets and locations still look at them. Streets that no detected city has
-    and names without an entry are left out. The trace has type, detected city and its id of each span.
+    and names without an entry are left out. ``gathered``: as at ``streets_in_cities``. The trace has type, detected city and its id of each span.
     """
     # What several steps read is written once: the joins behind it are not worked out anew for each.
-    found = written(looked_up(spans, index), "looked-up")
-    types = written(decided(span_types(found), type_scores).select("doc_id", "ord", "type"), "types")
-    of = lambda kind: found.join(types.where(F.col("type") == kind).select("doc_id", "ord"), ["doc_id", "ord"], "left_semi")
+    index = written(index, "index")
+    types = written(decided(span_types(looked_up(spans, key_classes(index))), type_scores).select("doc_id", "ord", "type"), "types")
+    # Each kind looks up those entries only that it may choose.
+    of = lambda kind, feature_class, k=1: looked_up(spans.join(types.where(F.col("type") == kind).select("doc_id", "ord"), ["doc_id", "ord"], "left_semi"), leading(index, feature_class, k))
     text = spans.select("doc_id", "ord", "text")
     nothing = {"admin1_code": "string", "city_id": "long", "city_name": "string", "edge_ids": "array<long>", "lat": "double", "lon": "double", "name": "string", "geonames_id": "long"}
 
@@ -71,15 +72,16 @@ def geotag(spans: DataFrame, index: DataFrame, cities: DataFrame, edges: DataFra
         have = have.withColumns({c: F.lit(None).cast(k) for c, k in nothing.items() if c not in have.columns})
         return have.select(*(F.col(c).cast(nothing[c]).alias(c) if c in nothing else F.col(c) for c in COLUMNS))
 
-    regions = most_populous(of("region"), "A").withColumnRenamed("entry_id", "geonames_id").drop("population")
-    cand = homonyms(of("city").where("feature_class = 'P'"))
+    regions = most_populous(of("region", "A"), "A").withColumnRenamed("entry_id", "geonames_id").drop("population")
+    cand = homonyms(of("city", "P", CANDIDATES).where("feature_class = 'P'"))
     city = written(chosen_city(cand, city_scores), "chosen")
     match = matched_city(city.select("name"), cities, contained=True)
     city = written(city.join(match, "name", "left").withColumn("city_name", F.coalesce("city_name", "name")), "cities")
     detected = city.where("lat is not null").select("doc_id", "ord", "city_id", "city_name", "lat", "lon")
     asked = text.join(types.where("type = 'street'").select("doc_id", "ord"), ["doc_id", "ord"])
-    streets = streets_in_cities(asked, detected, edges, least=LEAST)
-    points = most_populous(of("location"), "P")
+    streets = streets_in_cities(asked, detected, edges, least=LEAST, gathered=gathered)
+    nothing["edge_ids"] = streets.schema["edge_ids"].dataType
+    points = most_populous(of("location", "P"), "P")
     near = nearest_city(points.select("doc_id", "ord", "lat", "lon"), detected)
     location = points.drop("admin1_code", "population").withColumnRenamed("entry_id", "geonames_id").join(near.drop("km"), ["doc_id", "ord"], "left")
 

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import geotag, knn, places, resolve, scoring, similarity, summarize
+from ..shared import written
 from ..sources.tables import newest
 from . import relations
-from .catalogue import ENTRIES, LEFT, MENTIONS, SCORES, SIGNED, SPANS, _entries, _mentions, _spans, _vectors, query, sql_name, t
+from .catalogue import ENTRIES, LEFT, MENTIONS, SCORES, SIGNED, SPANS, _entries, _mentions, _spans, _vectors, edges_digest, query, sql_name, t
 
 # Places
 
@@ -48,9 +49,8 @@ def geotag_places(spark, d):
     index = places.gazetteer_index(_entries(spark, d).withColumns({"lat": (at * 37 % 180 - 90).cast("double"), "lon": (at * 91 % 360 - 180).cast("double")}))
     cities = t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.concat(F.lit("Nación_"), F.col("n_nationkey").cast("string")).alias("name"))
     edges = t(spark, d, "orders").select(F.col("o_orderkey").alias("edge_id"), (F.col("o_custkey") % 25).alias("city_id"), F.concat(F.lit("Calle Región "), (F.col("o_orderkey") % 3).cast("string")).alias("name"))
-    found, _ = geotag.geotag(_spans(spark, d), index, cities, edges)
-    text = F.array_join(F.coalesce(F.col("edge_ids"), F.array().cast("array<bigint>")).cast("array<string>"), ",")
-    return found.select("doc_id", "ord", "type", F.col("geonames_id").cast("string").alias("geonames_id"), F.col("city_id").cast("string").alias("city_id"), F.md5(text.cast("binary")).alias("edges"), "confidence", "place_no")
+    found, _ = geotag.geotag(_spans(spark, d), index, cities, edges, gathered=edges_digest)
+    return found.select("doc_id", "ord", "type", F.col("geonames_id").cast("string").alias("geonames_id"), F.col("city_id").cast("string").alias("city_id"), F.coalesce("edge_ids", F.md5(F.lit("").cast("binary"))).alias("edges"), "confidence", "place_no")
 
 
 # Resolution
