@@ -6,17 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def article_parts(articles: DataFrame, key: str) -> DataFrame:
+    """The different sources and urls of each key as rows: kind, value, the first ``ord`` and the oldest date. Parts of parts are merged by ``first_parts``."""
+    part = lambda c: F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value"))
+    return first_parts(articles.select(key, "ord", "date", F.explode(F.array(part("source"), part("url"))).alias("part")).select(key, "part.*", "ord", "date"), key)
+
+
+def first_parts(parts: DataFrame, key: str) -> DataFrame:
+    # Repeated values fold map-side, so a text that many rows share sends its distinct ones only.
+    return parts.groupBy(key, "kind", "value").agg(F.min("ord").alias("ord"), F.min("date").alias("date"))
+
+
+def of_parts(parts: DataFrame, key: str) -> DataFrame:
+    """The articles that ``first_parts`` are of."""
+    ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == c, F.struct("ord", "value")))), lambda x: x["value"]).alias(f"{c}s")
+    return parts.groupBy(key).agg(F.min("ord").alias("ord"), ordered("source"), ordered("url"), F.min("date").alias("date"))
+
+
 def merge_articles(articles: DataFrame, key: str) -> DataFrame:
     """Articles (ord, source, url, date) of the same key as one: sources and urls distinct in order, the oldest date, the first ``ord``.
 
     The result is the same whatever the order of arrival, so late articles do no harm.
     """
-    part = lambda c: F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value"))
-    parts = articles.select(key, "ord", "date", F.explode(F.array(part("source"), part("url"))).alias("part"))
-    # Repeated values fold map-side, so a text that many rows share sends its distinct ones only.
-    first = parts.groupBy(key, "part.kind", "part.value").agg(F.min("ord").alias("ord"), F.min("date").alias("date"))
-    ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == c, F.struct("ord", "value")))), lambda x: x["value"]).alias(f"{c}s")
-    return first.groupBy(key).agg(F.min("ord").alias("ord"), ordered("source"), ordered("url"), F.min("date").alias("date"))
+    return of_parts(article_parts(articles, key), key)
 
 
 def merge_turns(rows: DataFrame, key: str) -> DataFrame:

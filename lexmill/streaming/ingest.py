@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import merge_articles, merge_turns
+from ..operators.merge import article_parts, first_parts, of_parts
 from ..shared import shared_folder
 
 
@@ -18,15 +18,15 @@ def ingest(stream: DataFrame, folder: str, key: str = "text_key") -> None:
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        merge_articles(batch, key).write.mode("overwrite").parquet(f"{folder}/version={number}")
+        article_parts(batch, key).write.mode("overwrite").parquet(f"{folder}/version={number}")
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/_checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
 
 
 def latest(spark: SparkSession, folder: str, key: str = "text_key") -> DataFrame:
-    """The index: all versions merged, an earlier one's sources and urls first; copies end the same in whatever batch they came."""
-    return merge_turns(spark.read.parquet(folder).withColumnRenamed("version", "turn"), key)
+    """The index: all versions merged; sources and urls stand by ``ord``, in whatever order the batches came."""
+    return of_parts(first_parts(spark.read.parquet(folder), key), key)
 
 
 def as_pattern(path: str) -> str:
