@@ -11,14 +11,29 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 from pyspark.sql.window import Window
 
 from .graph import connected_components
 
-BLOCK = 2048
+BLOCK = 8192
+#: Queries of a tile that are multiplied at once.
+SLICE = 256
 MATCH, ITEM_LOW, MERGE, CORPUS_LOW, TOP_K = 0.92, 0.75, 0.92, 0.80, 10
 
 
+def leaders(score: np.ndarray, k: int) -> np.ndarray:
+    """The places of each row's ``k`` greatest scores, in order, the first of equals; as a stable sort gives them."""
+    n = score.shape[1]
+    if n <= 4 * k:
+        return np.argsort(-score, axis=1, kind="stable")[:, :k]
+    least = np.partition(score, n - k, axis=1)[:, n - k]
+    row, place = np.nonzero(score >= least[:, None])
+    order = np.lexsort((place, -score[row, place], row))
+    starts = np.searchsorted(row, np.arange(len(score)))  # each row has ``k`` of them at least
+    return place[order][starts[:, None] + np.arange(k)]
+
+
 def nearest(queries: DataFrame, rows: DataFrame, *, k: int = TOP_K, id_col: str = "id", vector_col: str = "vector", type_col: str | None = None, block: int = BLOCK, digits: int = 6) -> DataFrame:
     """query_id, id, score, rank: for every query its ``k`` best rows, itself included, ties by id.
 
@@ -26,7 +41,10 @@ def nearest(queries: DataFrame, rows: DataFrame, *, k: int = TOP_K, id_col: str
     ``digits``; vectors without length, null or of another size than the query's are left out.
     """
     kind = F.col(type_col).cast("string") if type_col else F.lit("")
-    shape = lambda df: df.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), kind.alias("kind"))
+    # Single-precision vectors travel as they are and are multiplied in double precision.
+    single = all(df.schema[vector_col].dataType == ArrayType(FloatType(), df.schema[vector_col].dataType.containsNull) for df in (queries, rows))
+    number = "array<float>" if single else "array<double>"
+    shape = lambda df: df.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(number).alias("vector"), kind.alias("kind"))
     q, r = shape(queries), shape(rows)
     # Two counts fix how many blocks there are.
     blocks = lambda df: max(1, -(-df.count() // block))
@@ -41,14 +59,16 @@ def nearest(queries: DataFrame, rows: DataFrame, *, k: int = TOP_K, id_col: str
             a, b = part[part["role"] == 0], part[part["role"] == 1].sort_values("id")
             if not len(a) or not len(b) or not size:
                 continue
-            unit = lambda p: (m := np.stack(p["vector"].to_numpy())) / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+            unit = lambda p: (m := np.stack(p["vector"].to_numpy()).astype(np.float64)) / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
             live = lambda p: p[p["vector"].map(lambda v: bool(np.any(v)))]
             a, b = live(a), live(b)
             if not len(a) or not len(b):
                 continue
-            score = np.round(unit(a) @ unit(b).T, digits)
-            best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            out.append(pd.DataFrame({"query_id": np.repeat(a["id"].to_numpy(), best.shape[1]), "id": b["id"].to_numpy()[best].ravel(), "score": np.take_along_axis(score, best, 1).ravel()}))
+            x, y, a_ids, b_ids = unit(a), unit(b).T, a["id"].to_numpy(), b["id"].to_numpy()
+            for at in range(0, len(x), SLICE):
+                score = np.round(x[at : at + SLICE] @ y, digits)
+                best = leaders(score, k)
+                out.append(pd.DataFrame({"query_id": np.repeat(a_ids[at : at + SLICE], best.shape[1]), "id": b_ids[best].ravel(), "score": np.take_along_axis(score, best, 1).ravel()}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
     found = q.unionByName(r).groupBy("i", "j").applyInPandas(tile, "query_id long, id long, score double")

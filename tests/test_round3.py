@@ -118,3 +118,12 @@ def test_stream_versions_merge_by_ord(spark, tmp_path):
 
     both = spark.read.parquet(f"{tmp_path}/index/0").unionByName(spark.read.parquet(f"{tmp_path}/index/1"))
     assert [(r["ord"], r["sources"], r["urls"]) for r in of_parts(first_parts(both.drop("version"), "text_key"), "text_key").collect()] == [(1, ["early", "late"], ["u1", "u9", "u20"])]
+
+
+def test_leaders_are_those_of_a_stable_sort():
+    import numpy as np
+
+    from lexmill.operators.knn import leaders
+
+    score = np.round(np.random.default_rng(3).random((50, 300)), 1)
+    assert (leaders(score, 10) == np.argsort(-score, axis=1, kind="stable")[:, :10]).all()
