@@ -113,9 +113,12 @@ SELECT d.doc_id, (arg_max(old, day * 1000000000 - old))::VARCHAR AS match FROM d
 )
 def recent_match(spark, d):
     docs = t(spark, d, "documents")
-    signed = similarity.signatures(similarity.shingle_sets(docs))
-    window = newest(docs.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 31).alias("date")))
-    found = similarity.first_recent(signed.where("id % 20 = 0"), signed.join(window, "id"))
+    # Only what is asked for and what is in the window is signed.
+    signed = lambda rows: similarity.signatures(similarity.shingle_sets(rows))
+    window = written(newest(docs.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 31).alias("date"))), "window")
+    held = docs.join(window.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    asked, recent = written(signed(docs.where("doc_id % 20 = 0")), "asked"), written(signed(held).join(window, "id"), "recent")
+    found = similarity.first_recent(asked, recent)
     return found.select(F.col("id").alias("doc_id"), F.col("match").cast("string").alias("match"))
 
 
