@@ -1,9 +1,9 @@
 """The recent window as stream state: each article's newest earlier near copy, while articles come in.
 
-Signatures are dealt to the keys of their bands. A key's state holds the signatures of its
-articles that are among the last ``WINDOW`` arrivals it knows of, in arrays, newest last; what
-falls behind is forgotten with the next rows, and a key that gets no rows for ``HOLD`` of event
-time forgets all by a timer. So the state is bounded by the window, whatever has gone by.
+Signatures are dealt by their bands to ``BUCKETS`` keys, so a batch is a few calls with many rows each. A
+key's state holds the signatures of its articles that are among the last ``WINDOW`` arrivals it knows
+of, in arrays; what falls behind is forgotten with the next rows, and a key that gets no rows for
+``HOLD`` of event time forgets all by a timer. So the state is bounded by the window, whatever has gone by.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.window import Window
@@ -22,44 +23,56 @@ from ..operators.similarity import CUT, PERMUTATIONS, hashed_bands, signatures,
 from ..shared import shared_folder, written
 
 WINDOW, BANDS, HOLD_MS = 5000, 32, 366 * 24 * 3600 * 1000
+#: Keys of the state, and articles of a batch at most, which bound what a call has in hand.
+BUCKETS, PER_BATCH = 512, 500_000
 FOUND = "id long, seq long, match long, match_seq long"
 
 
 class RecentBand(StatefulProcessor):
-    """The articles of one band's key: gives each its newest earlier one that agrees in ``cut`` of the places."""
+    """The articles of many bands: gives each its newest earlier one of a band of its own that agrees in ``cut`` of the places."""
 
     def __init__(self, window: int = WINDOW, cut: float = CUT, hold_ms: int = HOLD_MS):
         self.window, self.cut, self.hold_ms = window, cut, hold_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("recent", "seqs binary, ids binary, signatures binary")
+        self.state = handle.getValueState("recent", "bands binary, seqs binary, ids binary, signatures binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values(["seq", "id"])  # what one batch has of a band's key
-        seqs, ids, signs = (np.frombuffer(b, dtype=t) for b, t in zip(self.state.get(), (np.int64, np.int64, np.int32))) if self.state.exists() else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32))
-        fresh = np.stack(new["signature"].to_numpy()).astype(np.int32)  # hashes are below 2^31
-        seqs, ids = np.append(seqs, new["seq"].to_numpy(np.int64)), np.append(ids, new["id"].to_numpy(np.int64))
-        signs = np.concatenate([signs.reshape(-1, fresh.shape[1]), fresh])
-        is_new = np.arange(seqs.size) >= seqs.size - len(new)
-        order = np.lexsort((-ids, seqs))  # so that a walk back meets the newest first, the least id of equals
-        seqs, ids, signs, is_new = seqs[order], ids[order], signs[order], is_new[order]
-        low, high = np.searchsorted(seqs, seqs - self.window), np.searchsorted(seqs, seqs)
+        parts = list(rows)  # what one batch has for these bands
+        fresh = b"".join(x for p in parts for x in p["sign"])
+        new = pd.concat([p[["band", "seq", "id", "ms"]] for p in parts])
+        old = self.state.get() if self.state.exists() else (b"",) * 4
+        bands, seqs, ids = (np.append(np.frombuffer(b, dtype=np.int64), new[c].to_numpy(np.int64)) for b, c in zip(old, ("band", "seq", "id")))
+        signs = np.frombuffer(bytes(old[3]) + fresh, dtype=np.int32).reshape(seqs.size, -1)
+        before = seqs.size - len(new)
+        order = np.lexsort((-ids, seqs, bands))  # so that a walk back meets the newest first, the least id of equals
+        starts = np.flatnonzero(np.append(True, bands[order][1:] != bands[order][:-1]))
+        ends = np.append(starts[1:], seqs.size)
         out = []
-        for at in np.flatnonzero(is_new):
-            for end in range(high[at], low[at], -64):
-                start = max(end - 64, low[at])
-                good = np.flatnonzero((signs[start:end] == signs[at]).mean(axis=1) >= self.cut)
-                if good.size:
-                    out.append((ids[at], seqs[at], ids[start + good[-1]], seqs[start + good[-1]]))
-                    break
+        for start, end in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
+            own = order[start:end]
+            if own.max() >= before:
+                out += self.walked(own, seqs[own], ids, signs, own >= before)
         live = np.flatnonzero(seqs >= seqs.max() - self.window)
-        self.state.update((seqs[live].tobytes(), ids[live].tobytes(), signs[live].tobytes()))
+        self.state.update((bands[live].tobytes(), seqs[live].tobytes(), ids[live].tobytes(), signs[live].tobytes()))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer if isinstance(timer, int) else timer[0])
         self.handle.registerTimer(int(new["ms"].max()) + self.hold_ms)
         yield pd.DataFrame(out, columns=["id", "seq", "match", "match_seq"]).astype("int64")
 
+    def walked(self, own: np.ndarray, seqs: np.ndarray, ids: np.ndarray, signs: np.ndarray, is_new: np.ndarray) -> list[tuple]:
+        """The matches of one band's new rows; ``own`` are the places of its rows, oldest first."""
+        low, high, out = np.searchsorted(seqs, seqs - self.window), np.searchsorted(seqs, seqs), []
+        for at in np.flatnonzero(is_new):
+            for end in range(high[at], low[at], -64):
+                start = max(end - 64, low[at])
+                good = np.flatnonzero((signs[own[start:end]] == signs[own[at]]).mean(axis=1) >= self.cut)
+                if good.size:
+                    out.append((ids[own[at]], seqs[at], ids[own[start + good[-1]]], seqs[start + good[-1]]))
+                    break
+        return out
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.state.clear()
         yield pd.DataFrame({c: pd.Series(dtype="int64") for c in ("id", "seq", "match", "match_seq")})
@@ -68,6 +81,18 @@ class RecentBand(StatefulProcessor):
         pass
 
 
+def packed(signatures: Column) -> Column:
+    """Signatures as bytes; their hashes are below 2^31."""
+
+    @F.arrow_udf("binary")
+    def pack(signs: pa.Array) -> pa.Array:
+        ends = signs.offsets.to_numpy()
+        flat = signs.values.to_numpy(zero_copy_only=False).astype(np.int32)
+        return pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())
+
+    return pack(signatures)
+
+
 def matches(signed: DataFrame, folder: str, *, window: int = WINDOW, cut: float = CUT, bands: int = BANDS, hold_ms: int = HOLD_MS) -> DataFrame:
     """id, seq, match, match_seq, written below ``folder`` while the stream ``signed`` (id, seq, ts, signature) is read to its end.
 
@@ -75,8 +100,9 @@ def matches(signed: DataFrame, folder: str, *, window: int = WINDOW, cut: float
     its own. Rows without a signature match nothing.
     """
     spark = signed.sparkSession
-    keyed = hashed_bands(signed.withColumn("ms", F.unix_millis("ts")).withWatermark("ts", "0 seconds"), bands)
-    found = keyed.groupBy("band").transformWithStateInPandas(RecentBand(window, cut, hold_ms), FOUND, "Append", "EventTime")
+    timed = signed.withColumns({"ms": F.unix_millis("ts"), "sign": packed(F.col("signature"))}).withWatermark("ts", "0 seconds")
+    keyed = hashed_bands(timed, bands).select(F.pmod("band", F.lit(BUCKETS)).cast("int").alias("bucket"), "band", "seq", "id", "ts", "ms", "sign")
+    found = keyed.groupBy("bucket").transformWithStateInPandas(RecentBand(window, cut, hold_ms), FOUND, "Append", "EventTime")
     with_rocks = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
     before = {k: spark.conf.get(k, None) for k in with_rocks}
     for k, v in with_rocks.items():
@@ -119,4 +145,5 @@ def recent_matches(spark: SparkSession, sf_dir: str, *, window: int = WINDOW, ba
     signed = signatures(shingle_sets(docs, id_col="doc_id")).where(F.size("signature") == PERMUTATIONS)
     folder = shared_folder(spark, "recent")
     timed = signed.select("id", F.col("id").alias("seq"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"), "signature")
-    return matches(arrivals(written(timed, "signed"), folder, batches), folder, window=window)
+    rows = written(timed, "signed")
+    return matches(arrivals(rows, folder, max(batches, -(-rows.count() // PER_BATCH))), folder, window=window)

@@ -127,3 +127,31 @@ def test_leaders_are_those_of_a_stable_sort():
 
     score = np.round(np.random.default_rng(3).random((50, 300)), 1)
     assert (leaders(score, 10) == np.argsort(-score, axis=1, kind="stable")[:, :10]).all()
+
+
+def test_one_call_of_the_stream_state_serves_many_bands():
+    import numpy as np
+    import pandas as pd
+
+    from lexmill.streaming.recent import RecentBand
+
+    class Cell:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+
+        def update(self, row):
+            self.held = row
+
+    class Handle:
+        getValueState = lambda self, *_: Cell()
+        listTimers = lambda self: []
+        registerTimer = lambda self, at: None
+
+    state = RecentBand(window=10)
+    state.init(Handle())
+    a, b = (np.full(128, x, dtype=np.int32).tobytes() for x in (1, 2))
+    give = lambda *rows: [tuple(r) for df in state.handleInputRows((0,), iter([pd.DataFrame(rows, columns=["band", "seq", "id", "ms", "sign"])]), None) for r in df.itertuples(index=False)]
+    assert give((7, 1, 1, 0, a), (8, 1, 1, 0, b), (7, 2, 2, 0, a), (8, 3, 3, 0, a)) == [(2, 2, 1, 1)]
+    assert sorted(give((7, 5, 5, 0, a), (8, 5, 6, 0, b), (9, 5, 7, 0, b))) == [(5, 5, 2, 2), (6, 5, 1, 1)]
+    assert give((7, 30, 8, 0, a)) == [] and len(state.state.held[1]) == 8
