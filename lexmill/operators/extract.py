@@ -14,7 +14,6 @@ from pyspark.sql.window import Window
 
 from ..shared import written
 from .adapters import applied
-from .resolve import valid_relations
 from .schema import ExtractionSchema, catalogue, grammar, parsed, rules
 from .summarize import CHUNK, chunks
 
@@ -27,14 +26,25 @@ def assembled(answers: DataFrame, spec: ExtractionSchema, *, doc: str = "doc_id"
     read = parsed(answers.select(doc, "chunk_no", "answer"), spec).where("status = 'ok'")
     size = lambda c: F.coalesce(F.size(f"parsed.{c}"), F.lit(0))
     before = Window.partitionBy(doc).orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = read.select(doc, "chunk_no", size("entities").alias("n"), size("relations").alias("m"))
-    shift = sizes.select(doc, "chunk_no", "n", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "m")))
-    placed = read.join(shift, [doc, "chunk_no"])
+    sizes = read.select(doc, "chunk_no", "parsed", size("entities").alias("n"), size("relations").alias("m"))
+    placed = sizes.withColumns({f"{c}_before": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("n", "m")})
     entities = placed.select(doc, "chunk_no", "n_before", F.posexplode("parsed.entities").alias("at", "e")).select(doc, (F.col("at") + F.col("n_before")).alias("pos"), "chunk_no", "e.*")
-    each = placed.select(doc, "n", "n_before", "m_before", F.posexplode("parsed.relations").alias("at", "r")).select(doc, "n", "n_before", (F.col("at") + F.col("m_before")).alias("ord"), "r.*")
-    inside = (F.col("head") >= 0) & (F.col("head") < F.col("n")) & (F.col("tail") >= 0) & (F.col("tail") < F.col("n"))
-    own = each.where(inside).withColumns({c: F.col(c) + F.col("n_before") for c in ("head", "tail")}).drop("n", "n_before")
-    return entities, valid_relations(own, entities, rules(answers.sparkSession, spec), (doc,))
+    own = placed_relations(placed, rules(answers.sparkSession, spec), doc, "n_before", "m_before")
+    return entities, own.withColumns({c: F.col(c) + F.col("n_before") for c in ("head", "tail")}).withColumn("ord", F.col("ord") + F.col("m_before")).drop("n_before", "m_before")
+
+
+def placed_relations(read: DataFrame, allowed: DataFrame, *keep: str) -> DataFrame:
+    """``keep``, ord and each relation of the parsed answers whose ends are positions of its own answer's entities with types that the rules allow.
+
+    The ends are looked up within the answer's row: what ``valid_relations`` joins for tables of their own.
+    """
+    each = read.select(*keep, F.col("parsed.entities").alias("_e"), F.posexplode("parsed.relations").alias("ord", "r")).select(*keep, "_e", F.col("ord").cast("long").alias("ord"), "r.*")
+    end = lambda c: F.get("_e", F.when(F.col(c).between(0, F.size("_e") - 1), F.col(c)).cast("int"))
+    named = each.withColumns({f"_{c}": end(c) for c in ("head", "tail")}).where("_head IS NOT NULL AND _tail IS NOT NULL")
+    named = named.withColumns({f"{c}_{x}": F.col(f"_{c}.{x}") for c in ("head", "tail") for x in ("type", "name")}).drop("_e", "_head", "_tail")
+    ruled = named.join(F.broadcast(allowed), "type")  # a row a declared relation
+    ruled = ruled.where(F.array_contains("head_types", F.col("head_type")) & F.array_contains("tail_types", F.col("tail_type")))
+    return ruled.drop("head_types", "tail_types")
 
 
 def asked(docs: DataFrame, spec: ExtractionSchema, build, *, tries: int = 2, size: int = CHUNK, id_col: str = "doc_id", text_col: str = "text", pause: float = 1.0) -> DataFrame:

@@ -135,7 +135,7 @@ def valid_relations(relations: DataFrame, entities: DataFrame, rules: DataFrame,
     """
     end = lambda c: entities.select(*doc, F.col("pos").alias(c), F.col("type").alias(f"{c}_type"), F.col("name").alias(f"{c}_name"))
     placed = relations.join(end("head"), [*doc, "head"]).join(end("tail"), [*doc, "tail"])
-    ruled = placed.join(rules, "type")
+    ruled = placed.join(F.broadcast(rules), "type")  # a row a declared relation
     return ruled.where(F.array_contains("head_types", F.col("head_type")) & F.array_contains("tail_types", F.col("tail_type"))).drop("head_types", "tail_types")
 
 

@@ -124,6 +124,8 @@ SELECT r.doc_id, r.head::BIGINT AS head, r.tail, r.type, h.name AS head_name, t.
 WHERE r.type = 'O' AND h.type IN ('A', 'N') AND t.type IN ('R', 'N') AND r.doc_id % 10 <> 0""",
 )
 def extracted_relations(spark, d):
+    from ..operators.extract import placed_relations
+
     listed = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus")))
     per = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg(listed.alias("lines"))
     entities = F.transform("lines", lambda x: F.struct(x["l_partkey"].cast("string").alias("name"), x["l_returnflag"].alias("type")))
@@ -131,7 +133,7 @@ def extracted_relations(spark, d):
     text = F.to_json(F.struct(F.lit("because").alias("reasoning"), entities.alias("entities"), ends.alias("relations")))
     answers = per.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("Sorry: "), text)).otherwise(text).alias("answer"))
     good = schema.parsed(answers, ASKED).where("status = 'ok'")
-    found = resolve.valid_relations(schema.flat_relations(good), schema.flat_entities(good), schema.rules(spark, ASKED))
+    found = placed_relations(good, schema.rules(spark, ASKED), "doc_id")
     return found.select("doc_id", "head", "tail", "type", "head_name", "tail_name")
 
 
