@@ -20,12 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 from pyspark.sql.window import Window
 
 from ..shared import written
-from .knn import TOP_K
+from .knn import TOP_K, leaders
 
-SAMPLE, MOST_LISTS, ROUNDS, BLOCK = 16_384, 2048, 12, 2048
+SAMPLE, MOST_LISTS, ROUNDS, BLOCK = 16_384, 2048, 12, 8192
+#: Queries of a tile that are multiplied at once.
+SLICE = 256
 RECALL = 0.95
 ODD = -1
 
@@ -42,13 +45,17 @@ class VectorIndex:
 
 
 def unit(m: np.ndarray) -> np.ndarray:
+    """Rows of length 1, in double precision."""
+    m = m.astype(np.float64)
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
 
 def shaped(df: DataFrame, id_col: str, vector_col: str, type_col: str | None) -> DataFrame:
-    """id, kind, vector; null vectors and those without length are left out."""
+    """id, kind, vector; null vectors and those without length are left out. Vectors in single precision travel as they are."""
     kind = F.col(type_col).cast("string") if type_col else F.lit("")
-    rows = df.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), kind.alias("kind"), F.col(vector_col).cast("array<double>").alias("vector"))
+    given = df.schema[vector_col].dataType
+    number = "array<float>" if isinstance(given, ArrayType) and given.elementType == FloatType() else "array<double>"
+    rows = df.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), kind.alias("kind"), F.col(vector_col).cast(number).alias("vector"))
     return rows.where(F.exists("vector", lambda x: (x != 0) & ~F.isnan(x)))
 
 
@@ -159,12 +166,15 @@ def tiles(asked: DataFrame, index: VectorIndex, k: int, digits: int, block: int)
                 continue
             at = np.zeros(role.size, dtype=np.int64)
             at[fits] = np.arange(fits.size)
-            score = np.round(unit(x[at[q]]) @ unit(x[at[r]]).T, digits)
-            score[kinds[q][:, None] != kinds[r][None]] = -np.inf
-            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            value = np.take_along_axis(score, top, axis=1)
-            some = np.isfinite(value)
-            out.append((np.repeat(ids[q], some.sum(axis=1)), ids[r][top][some], value[some]))
+            y = unit(x[at[r]]).T
+            for start in range(0, q.size, SLICE):
+                own = q[start : start + SLICE]
+                score = np.round(unit(x[at[own]]) @ y, digits)
+                score[kinds[own][:, None] != kinds[r][None]] = -np.inf
+                top = leaders(score, k)
+                value = np.take_along_axis(score, top, axis=1)
+                some = np.isfinite(value)
+                out.append((np.repeat(ids[own], some.sum(axis=1)), ids[r][top][some], value[some]))
         columns = [np.concatenate([o[i] for o in out]) if out else np.empty(0) for i in range(3)]
         return pa.table({"query_id": pa.array(columns[0].astype(np.int64)), "id": pa.array(columns[1].astype(np.int64)), "score": pa.array(columns[2].astype(np.float64))})
 

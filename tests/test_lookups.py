@@ -186,3 +186,11 @@ def test_folded_documents_with_near_copies(spark):
     assert near.count() < exact.count()
     urls = lambda df: sorted(r["u"] for r in df.select(F.explode("urls").alias("u")).collect())
     assert urls(near) == urls(exact)
+
+
+def test_single_precision_vectors_travel_as_they_are(spark):
+    rows = spark.range(50).selectExpr("id", "array(cast(id + 1 as float), cast(3 as float)) as vector")
+    index = vector_index.build(rows, vector_index.fit(rows, lists=3))
+    assert index.rows.schema["vector"].dataType.elementType.typeName() == "float"
+    got = vector_index.search(rows, index, k=4, exact=True)
+    assert sorted(got.collect()) == sorted(knn.nearest(rows, rows, k=4).select(got.columns).collect())
