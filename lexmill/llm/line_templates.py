@@ -2,12 +2,13 @@
 
 A line's words that look variable (digits, addresses) become ``<*>``. Its path in the tree
 is its number of words, then its first ``DEPTH`` words, which end in a leaf. A leaf parts its
-lines in ``1 + ANCHORED`` further levels. Of each level the template has, at every place, the word that
+lines in further levels. Of each level the template has, at every place, the word that
 most of the leaf's lines left have there, if in ``MIN_DOCS`` documents at least, else ``<*>``. A line that
 agrees with it in the share ``ALIKE`` of its places is of this template and leaves; the others go
 down a level. From the second level on the template is that of the lines that share an anchor: the
 word and place that most lines have, of those that at most half of them have, so that families
-of lines in one leaf part. No step looks at how many lines there are, or at their order: all
+of lines in one leaf part. A leaf has as many levels as name lines: after the first it ends at one that
+names none, as the next would be the same. No step looks at how many lines there are, or at their order: all
 are counts by leaf, place and word, so a leaf of any size is dealt to many tasks.
 
 Templates that recur in ``MIN_DOCS`` documents or more, or in ``LONG_DOCS`` where they have
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, join_skewed, small_batches, table, tidy
 
-DEPTH, ALIKE, MIN_DOCS, ANCHORED = 3, 0.7, 3, 3
+DEPTH, ALIKE, MIN_DOCS = 3, 0.7, 3
+#: Levels whose names are written together, so that a plan reads few tables however many levels there are.
+FOLDED = 8
 #: Lines of over so many words are passages: it takes fewer documents to drop them.
 LONG, LONG_DOCS = 50, 2
 VARIABLE = re.compile(r"[0-9]|@|://")
@@ -127,12 +131,15 @@ def leading(counts: DataFrame, min_docs: int) -> DataFrame:
 def templates(docs: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
     """(line, template, n) for the lines that have a template."""
     play = cut(worded(docs, lines, min_docs), "template-words")
-    named = None
-    for level in range(1 + ANCHORED):
+    named, live = None, None
+    for level in count():
         total = play.count()
+        if level and not total:
+            return named
         counts, sizes = support(play), play.groupBy("leaf").agg(F.count("*").alias("size"), F.sum("n").alias("all"))
         if level:
             some = cut(counts, "support").where((F.col("pos") >= DEPTH) & enough(min_docs)).join(sizes, "leaf").where(2 * F.col("s") <= F.col("all"))
+            some = some if live is None else some.join(live, "leaf", "left_semi")
             anchor = some.groupBy("leaf").agg(F.max(F.struct("s", (-F.col("pos")).alias("back"), "word")).alias("a"), F.first("size").alias("size"))
             anchor = anchor.select("leaf", "size", (-F.col("a.back")).alias("a_pos"), F.col("a.word").alias("a_word"))
             counts = support(join_skewed(play, anchor, "leaf", "size", total).where(F.get("words", F.col("a_pos")) == F.col("a_word")))
@@ -143,8 +150,13 @@ def templates(docs: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
         met = cut(met.select("leaf", "n", "line", "words", "in"), "template-level")
         joined = met.where("in").select("line", F.xxhash64("leaf", F.lit(level)).alias("template"), "n")
         named = joined if named is None else named.union(joined)
+        if level and joined.isEmpty():
+            return named
+        if level % FOLDED == FOLDED - 1:
+            named = cut(named, "template-names")
+        # An anchored level that names none of a leaf's lines would find the same anchor and template again.
+        live = met.where("in").select("leaf").distinct() if level else None
         play = met.where("not in").select("leaf", "n", "line", "words")
-    return named
 
 
 def drop_templates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, keep_first: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:

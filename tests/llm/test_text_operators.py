@@ -247,6 +247,16 @@ def test_templates_near_the_threshold(spark, seed):
     assert 50 < sum(t == "" for _, t in got) < 390
 
 
+def test_templates_of_any_number_of_families(spark):
+    """Each family of a leaf is named, not only those of the first four levels; lines that are like no other stay."""
+    name = lambda *at: "".join("abcdefghij"[int(d)] for x in at for d in f"{x:02}")
+    lines = [f"one two three {' '.join('w' + name(k, p) for p in range(6))} {name(k, i, 9)}" for k in range(9) for i in range(3 + k)]
+    alone = ["one two three " + " ".join(f"z{name(i, p)}" for p in range(7)) for i in range(9)]
+    rows = [*enumerate([*lines, *alone])]
+    got = line_templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r["doc_id"] for r in got if r["n_dropped"] == 0} == {*range(len(lines), len(rows))}
+
+
 def test_very_many_unlike_lines_of_one_leaf(spark):
     """No task walks a leaf line by line: these would be billions of comparisons."""
     docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("one two three "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(7)), lambda i: F.translate(F.md5(F.concat_ws("-", "id", i).cast("binary")), "0123456789", "ghijklmnop")), " ")).alias("text"))
