@@ -221,6 +221,14 @@ def test_gradient_by_differences():
         assert (loss(up) - loss(down)) / 2e-2 == pytest.approx(g[at], rel=0.05, abs=2e-4)
 
 
+def test_every_training_text_gives_gradients(spark):
+    path, model = tokenizer_file(PIECE), model_of()
+    shared = spark.sparkContext.broadcast(("every", [b"the"], np.array([5])))
+    for i, text in enumerate(["the house", "a garden of the house", "no garden", "the house again"]):
+        one = spark.createDataFrame([(i, text)], "key long, text string").coalesce(1)
+        assert not np.array_equal(lm.train(one, model, shared, path).flat, model.flat)
+
+
 def test_held_out_texts_score_better_than_by_words_alone(spark):
     docs = spark.createDataFrame([*enumerate(texts(700, 4))], "doc_id long, text string")
     got = lm.op13_attention_scores(spark, "", docs).where("held_out").groupBy().sum("score", "base_score").first()
