@@ -229,6 +229,22 @@ def test_every_training_text_gives_gradients(spark):
         assert not np.array_equal(lm.train(one, model, shared, path).flat, model.flat)
 
 
+def test_texts_are_read_once_for_training_and_scores(spark):
+    path, start = tokenizer_file(PIECE), model_of()
+    given = [*enumerate(texts(40)), (None, "the house"), (7, None), (8, ""), (9, "😀 ÄÖ " * 30)]
+    docs = spark.createDataFrame(given, "key long, text string").coalesce(1)
+    shared = spark.sparkContext.broadcast(("once", [b"the", b"house"], np.array([5, 3])))
+    rows = lm.encoded(docs, start, shared, path)
+    assert "text" not in rows.columns and rows.count() == len(given)
+    model = lm.train(rows, start, shared, path)
+    assert np.array_equal(model.flat, lm.train(docs, start, shared, path).flat)
+    counts = spark.createDataFrame([("the", 5), ("house", 3)], "word string, n long")
+    got = lm.scored(rows, (model, counts, shared, {"docs": 2, "tokens": 10, "distinct": 3})).collect()
+    want = lm.Lexicon([b"the", b"house"], np.array([5, 3]), path).read([t for _, t in given]).scores(model) / math.log(10)
+    near = lambda pairs: sorted(((k, round(float(v), 2)) for k, v in pairs), key=repr)
+    assert near((r["key"], r["score"]) for r in got) == near((k, v) for (k, _), v in zip(given, want))
+
+
 def test_held_out_texts_score_better_than_by_words_alone(spark):
     docs = spark.createDataFrame([*enumerate(texts(700, 4))], "doc_id long, text string")
     got = lm.op13_attention_scores(spark, "", docs).where("held_out").groupBy().sum("score", "base_score").first()
