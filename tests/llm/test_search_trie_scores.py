@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import resource
 import zlib
 from collections import Counter, defaultdict
 
@@ -229,6 +230,19 @@ def test_every_training_text_gives_gradients(spark):
         assert not np.array_equal(lm.train(one, model, shared, path).flat, model.flat)
 
 
+def test_gradients_do_not_ask_the_system_for_memory_again():
+    model, rng = model_of(), np.random.default_rng(4)
+    x = rng.integers(0, lm.OWN, (256, lm.SPAN + 1))
+
+    def run(batches):
+        for _ in batches:
+            faults = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+            model.gradient(x)
+            yield resource.getrusage(resource.RUSAGE_SELF).ru_minflt - faults
+
+    assert np.median([*lm.roomy(run)(iter(range(12)))][2:]) < 300  # some 2400 pages where freed memory goes back
+
+
 def test_texts_are_read_once_for_training_and_scores(spark):
     path, start = tokenizer_file(PIECE), model_of()
     given = [*enumerate(texts(40)), (None, "the house"), (7, None), (8, ""), (9, "😀 ÄÖ " * 30)]
