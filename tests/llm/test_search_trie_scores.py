@@ -259,6 +259,16 @@ def test_texts_are_read_once_for_training_and_scores(spark):
     assert near((r["key"], r["score"]) for r in got) == near((k, v) for (k, _), v in zip(given, want))
 
 
+def test_a_batch_of_texts_without_words(spark):
+    path, start = tokenizer_file(PIECE), model_of()
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, " \n")], "doc_id long, text string").coalesce(1)
+    counts = spark.createDataFrame([("the", 5)], "word string, n long")
+    shared = spark.sparkContext.broadcast(("wordless", [b"the"], np.array([5])))
+    got = lm.score_texts(docs, (start, counts, shared, {"docs": 2, "tokens": 7, "distinct": 2}), path).collect()
+    assert [(r["n_tokens"], r["n_known"]) for r in got] == [(1, 1)] * 3
+    assert {round(r["base_score"], 9) for r in got} == {round(math.log10(3) - math.log10(10), 9)}
+
+
 def test_held_out_texts_score_better_than_by_words_alone(spark):
     docs = spark.createDataFrame([*enumerate(texts(700, 4))], "doc_id long, text string")
     got = lm.op13_attention_scores(spark, "", docs).where("held_out").groupBy().sum("score", "base_score").first()
