@@ -165,6 +165,28 @@ def test_base_scores_equal_brute_force(spark, most):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
 
 
+def test_subwords_of_long_words_count(spark):
+    path = tokenizer_file(PIECE)
+    given = [*texts(30), "https://example.org/" + "pages/of/the/house/" * 9 + " the house", "ÄÖ😀" * 40 + " garden " + "ÄÖ😀" * 40, "x" * 30_000, None, ""] * 2
+    docs = spark.createDataFrame([*enumerate(given)], "key long, text string").repartition(3)
+    model, counts, _, sums = lm.counted(docs, path)
+    uni, pieces = np.zeros(lm.PIECES), lm.Pieces(path)
+    for text in given:
+        uni += np.bincount(pieces(lm.words_of(text))[0], minlength=lm.PIECES)
+    uni[lm.END] = len(given)
+    rank = np.full(lm.PIECES, lm.RARE, dtype=np.int16)
+    rank[np.lexsort((np.arange(lm.PIECES), -uni))[: lm.OWN]] = np.arange(lm.OWN)
+    assert np.array_equal(model.rank, rank)
+    assert np.allclose(np.exp(model.spare[rank == lm.RARE]) * (uni[rank == lm.RARE] + 0.5).sum() - 0.5, uni[rank == lm.RARE], atol=1e-6)
+    after, edge = np.zeros((lm.OWN + 2, lm.OWN + 2)), lm.OWN + 1
+    for word in (w for text in given for w in lm.words_of(text)):
+        way = [edge, *rank[pieces([word])[0]], edge]
+        np.add.at(after, (way[:-1], way[1:]), 1)
+    assert np.allclose(model.flat, lm.started(uni, after, rank, model.spare, len(given)).flat)
+    words = Counter(lm.name_of(w).decode() for text in given for w in lm.words_of(text))
+    assert {r["word"]: r["n"] for r in counts.collect()} == words and sums["tokens"] == words.total() + len(given)
+
+
 def model_of(seed=1):
     rng = np.random.default_rng(seed)
     rank = np.minimum(np.arange(lm.PIECES), lm.RARE).astype(np.int16)
