@@ -39,7 +39,7 @@ def vector_index_probed(spark, d):
 @query("corpus_clusters_indexed", _clusters("true"))
 def corpus_clusters_indexed(spark, d):
     v = _vectors(spark, d)
-    return knn.cluster_corpus(v, merge=0.35, low=0.25, found=vector_index.search(v, _index(v), exact=True))
+    return knn.cluster_corpus(v, merge=0.35, low=0.25, found=vector_index.search(v, _index(v), exact=True, least=0.35))  # no lower score links
 
 
 # Names

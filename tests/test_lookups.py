@@ -59,6 +59,48 @@ def test_clusters_by_index(vectors):
     assert rows(knn.cluster_corpus(vectors, found=found)) == rows(knn.cluster_corpus(vectors))
 
 
+def test_only_scores_that_may_count_are_looked_for(vectors):
+    index = vector_index.build(vectors, vector_index.fit(vectors, lists=9), type_col="label")
+    want = rows(knn.nearest(vectors, vectors, type_col="label").select("query_id", "id", "score", "rank").where("score >= 0.97"))
+    got = vector_index.search(vectors, index, exact=True, least=0.97, type_col="label", block=100)
+    assert want and rows(got.select("query_id", "id", "score", "rank")) == want
+    assert rows(knn.cluster_corpus(vectors, merge=0.97, found=got)) == rows(knn.cluster_corpus(vectors, merge=0.97, type_col="label"))
+
+
+def test_queries_travel_by_slabs_not_by_lists(spark):
+    x = np.random.default_rng(2).normal(size=(3000, 16))
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, vector array<double>")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    moved = lambda: sum(store.executorList(False).apply(i).totalShuffleWrite() for i in range(store.executorList(False).size()))
+    index = vector_index.build(v, vector_index.fit(v, lists=60))
+    before = moved()
+    got = rows(vector_index.search(v, index, exact=True).select("query_id", "id", "score", "rank"))
+    assert moved() - before < 10 * v.count() * 16 * 8  # some 60 times the vectors when each list got a copy
+    assert got == rows(knn.nearest(v, v).select("query_id", "id", "score", "rank"))
+
+
+def test_slabs_hold_every_list_once():
+    sizes = {-1: 25, 0: 3, 1: 4, 2: 9, 3: 30, 4: 2, 6: 8}
+    assert vector_index.packed(sizes, 10) == {-1: (0, 3), 0: (3, 1), 1: (3, 1), 2: (4, 1), 3: (5, 3), 4: (8, 1), 6: (8, 1)}
+
+
+@pytest.mark.parametrize("tighten", [True, False])
+@pytest.mark.parametrize("digits", [1, 6])
+def test_pairs_of_a_tile_with_copies_and_ties(monkeypatch, tighten, digits):
+    monkeypatch.setattr(vector_index, "SLICE", 7)
+    monkeypatch.setattr(vector_index, "CHUNK", 50)
+    rng = np.random.default_rng(3)
+    y = vector_index.unit(rng.normal(size=(333, 6)))
+    y[40:200] = y[3]
+    x = vector_index.unit(np.concatenate([y[::20] + rng.normal(0, 1e-4, (17, 6)), y[3:6], rng.normal(size=(5, 6))]))
+    for bound in (-np.inf, 0.3, 1.0, 2.0):
+        want = []
+        for i, score in enumerate(np.round(x @ y.T, digits)):
+            best = sorted(range(len(y)), key=lambda j: (-score[j], j))[:4]
+            want += [(i, j, score[j]) for j in best if score[j] >= bound]
+        assert [*zip(*vector_index.best_pairs(x, y, np.full(len(x), bound), 4, digits, tighten))] == want
+
+
 def test_index_of_nothing(vectors):
     none = vectors.limit(0)
     empty = vector_index.build(none, vector_index.fit(none))
